@@ -2,20 +2,73 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm import tokenfiles, vectors
 from tidemark.llm.neardup import near_duplicates
+from tidemark.llm.piecebpe import encode_pieces
+from tidemark.llm.store import fresh_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id", (F.octet_length("ids_le") / 4).cast("long").alias("n_tokens"), F.sha2("ids_le", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_folder(spark, "token-files")
+    manifest = tokenfiles.write_token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2, folder)
+    return tokenfiles.with_crc(tokenfiles.read_token_files(manifest, folder))
+
+
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_folder(spark, "flat-token-files")
+    written = tokenfiles.write_flat_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 50256, folder)
+    found = tokenfiles.scan_separators(spark, folder, 50256)
+    return found.join(written, ["shard", "ordinal"], "left").select("doc_id", "shard", "ordinal", "start", "n_tokens", "ended")
+
+
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op5_token_files": op5_token_files,
+    "op7_exact_top_k": op7_exact_top_k,
+    "op8_token_counts": op8_token_counts,
+    "op10_embedding_near_dedup": op10_embedding_near_dedup,
+}
+
+SQL = {
+    "op7_exact_top_k": """
+with ok as (
+    select vec_id, [cast(floor(256 * cast(x as double)) as bigint) for x in embedding] as v
+    from embeddings
+    where vec_id is not null and embedding is not null and len(embedding) > 0
+      and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+), scored as (
+    select q.vec_id as query_id, c.vec_id, cast(list_sum([a[1] * a[2] for a in list_zip(q.v, c.v)]) as bigint) as score
+    from (select distinct * from ok where vec_id % 50 = 0) q join ok c on q.vec_id != c.vec_id and len(q.v) = len(c.v)
+), placed as (
+    select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored
+)
+select query_id, cast(rank as integer) as rank, vec_id, score from placed where rank <= 5""",
 }
-SQL: dict[str, str] = {}
