@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Encoded words that a Python worker remembers.
-WORDS = 500_000
+WORDS = 1_000_000
 #: A word with the white space before it. The library's pre-tokeniser never joins what stands on both sides of such a cut.
 CUT = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
 #: Rarer white space and control characters, which rules for runs of white space may carry over a cut: such texts go whole.
@@ -22,6 +24,12 @@ RARE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -‏    　﻿]")
 RUNS = ("  ", " \n", "\n ", "\n\n", "\t", "\r", "\0")
 
 
+#: Byte-level BPE writes every byte as a letter: printable ones as themselves, the others as letters from U+0100 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+SPACE_LETTER = chr(BYTE_LETTERS[32])
+
+
 def cut(text: str) -> list[str]:
     if RARE.search(text):
         return [text]
@@ -40,14 +48,34 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.encode_special_tokens = True
         self.dtype = id_type(self.tokenizer.get_vocab_size())
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.words: dict[str, bytes] = {}
+        said = json.loads(spec)
+        before = said.get("pre_tokenizer") or {}
+        #: Byte-level BPE on the usual words: cuts at white space change nothing there, and a word of letters is one unit of the model.
+        self.by_word = not said.get("normalizer") and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+        self.marks = {c: self.ids(self.tokenizer.encode(c, add_special_tokens=False).ids) for c in ".,"}
+
+    def ids(self, numbers: list[int]) -> bytes:
+        return array(self.code, numbers).tobytes()
 
     def learn(self, words: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        self.words.update(zip(words, (np.array(x.ids, self.dtype).tobytes() for x in found), strict=True))
+        """Words of Latin letters, with a blank before and a full stop or comma after or not, go to the library's model directly; others through its whole pipeline."""
+        tokenize, others = self.tokenizer.model.tokenize, []
+        for w in words:
+            core, tail = w.removeprefix(" "), b""
+            if core[-1:] in self.marks:
+                core, tail = core[:-1], self.marks[core[-1]]
+            if self.by_word and core.isalpha() and (core.isascii() or max(core) < "\u0250"):
+                unit = core if core.isascii() else core.encode().decode("latin-1").translate(BYTE_LETTERS)
+                self.words[w] = self.ids([t.id for t in tokenize(SPACE_LETTER + unit if w[0] == " " else unit)]) + tail
+            else:
+                others.append(w)
+        for w, x in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
+            self.words[w] = self.ids(x.ids)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cuts = [cut(t) if t else [] for t in texts]
+        cuts = [(cut(t) if self.by_word else [t]) if t else [] for t in texts]
         wanted = set().union(*cuts)
         missing = wanted.difference(self.words)
         if len(self.words) + len(missing) > WORDS:
