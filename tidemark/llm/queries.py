@@ -6,10 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import tokenfiles, vectors
+from tidemark.llm import mixing, tokenfiles, vectors
+from tidemark.llm.language import languages
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.piecebpe import encode_pieces
+from tidemark.llm.quality import quality_scores
 from tidemark.llm.store import fresh_folder
+from tidemark.llm.toxicity import toxicity_scores
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,12 +30,24 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_folder(spark, "token-files")
     manifest = tokenfiles.write_token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2, folder)
     return tokenfiles.with_crc(tokenfiles.read_token_files(manifest, folder))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(_table(spark, sf_dir, "documents"))
+
+
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.top_k(_table(spark, sf_dir, "embeddings"))
 
@@ -44,6 +59,13 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.join(written, ["shard", "ordinal"], "left").select("doc_id", "shard", "ordinal", "start", "n_tokens", "ended")
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planned = mixing.plan(_table(spark, sf_dir, "documents"))
+    first = F.array_min(F.transform("placements", lambda p: p["position"]))
+    columns = planned.select("doc_id", "size", "source_size", "target", "taken", F.round(first, 6).alias("first_position"))
+    return columns.orderBy(F.col("first_position").asc_nulls_last(), "doc_id")
+
+
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -51,9 +73,13 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_toxicity": op3_toxicity,
+    "op4_quality": op4_quality,
     "op5_token_files": op5_token_files,
+    "op6_language_id": op6_language_id,
     "op7_exact_top_k": op7_exact_top_k,
     "op8_token_counts": op8_token_counts,
+    "op9_mixing": op9_mixing,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 
@@ -71,4 +97,43 @@ with ok as (
     select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored
 )
 select query_id, cast(rank as integer) as rank, vec_id, score from placed where rank <= 5""",
+    "op9_mixing": r"""
+with docs as (
+    select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as size,
+           md5('mix' || coalesce(cast(doc_id as varchar), '')) as o
+    from documents
+), sizes as (
+    select source, cast(sum(size) as bigint) as source_size from docs group by source
+), weighed as (
+    select *, 2.0 * source_size as cap, case place % 3 when 0 then 3.0 when 1 then 1.0 else 2.0 end as w
+    from (select *, row_number() over (order by source is null, source) - 1 as place from sizes)
+), filled as (
+    select source, source_size, place, cast(cap as double) as cap, cast(w as double) as w,
+           (cast(1.5 as double) * sum(source_size) over () - coalesce(sum(cast(cap as double)) over (order by cap / w, place rows between unbounded preceding and 1 preceding), 0))
+           / sum(cast(w as double)) over (order by cap / w, place rows between current row and unbounded following) as level
+    from weighed
+), targets as (
+    select source, source_size, place, least(cap, max(level) over () * w) as target
+    from filled
+), placed as (
+    select doc_id, size, source_size, target, place, sum(size) over (partition by docs.source order by o, doc_id, size rows unbounded preceding) - size as start
+    from docs join targets on docs.source is not distinct from targets.source
+), counted as (
+    select *, least(size, floor(target) - start) as first_words, least(size, floor(target) - start - source_size) as second_words,
+           least(start / target, 1.0) as asked
+    from placed
+), timed as (
+    select *, case place % 3
+        when 0 then asked
+        when 1 then case
+            when asked * 1.05 < 0.45 then 2 * (asked * 1.05) / (0.5 + sqrt(0.25 + 2 * (0.5 / 0.6) * (asked * 1.05)))
+            when asked * 1.05 < 1.05 then 0.6 + 2 * (asked * 1.05 - 0.45) / (1 + sqrt(1 + 2 * (1.0 / 0.4) * (asked * 1.05 - 0.45))) else 1 end
+        else case
+            when asked * 1.05 < 0.6 then 2 * (asked * 1.05) / (2 + sqrt(4 - 2 * (1.0 / 0.4) * (asked * 1.05)))
+            when asked * 1.05 < 1.05 then 0.4 + 2 * (asked * 1.05 - 0.6) / (1 + sqrt(1 - 2 * (0.5 / 0.6) * (asked * 1.05 - 0.6))) else 1 end end as position
+    from counted
+)
+select doc_id, size, source_size, target, cast(greatest(first_words, 0) + greatest(second_words, 0) as bigint) as taken,
+       case when first_words > 0 then round(position, 6) end as first_position
+from timed""",
 }

@@ -13,6 +13,9 @@ _power = np.ones(1, np.uint64)
 _inverse = np.ones(1, np.uint64)
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Bytes outside words of letters and digits only; every byte of a longer UTF-8 sequence counts as a letter.
+NO_LETTER = np.ones(256, bool)
+NO_LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -63,13 +66,13 @@ def joined_bytes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """All words `[^\\x20\\x09-\\x0D]+` of some texts with A-Z lowered: 64-bit hashes, and first[i]:first[i + 1] for text i."""
+    """All words of some texts with A-Z lowered: 64-bit hashes, and first[i]:first[i + 1] for text i. Words are `[^\\x20\\x09-\\x0D]+`, or what else the table of separating bytes leaves."""
 
-    def __init__(self, texts: list[str | None]):
+    def __init__(self, texts: list[str | None], separates: np.ndarray = SPACE):
         data, starts = joined_bytes(texts)
         self.data, self.starts = data, starts
         lowered = data + ((data >= 65) & (data <= 90)) * np.uint8(32)
-        inside = ~SPACE[data]
+        inside = ~separates[data]
         edge = np.diff(inside.view(np.int8), prepend=np.int8(0))
         self.begin = np.flatnonzero(edge == 1)
         self.end = np.flatnonzero(edge == -1)
@@ -78,8 +81,15 @@ class Words:
             total = np.zeros(len(data) + 1, np.uint64)
             np.cumsum((lowered.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=total[1:])
             self.hash = mixed((total[self.end] - total[self.begin]) * inverse[self.begin])
+        self._total, self._inverse = total, inverse
         self.first = np.searchsorted(self.begin, starts)
 
+    def heads(self, n: int) -> np.ndarray:
+        """Hashes of the words' first n bytes."""
+        stop = np.minimum(self.begin + n, self.end)
+        with np.errstate(over="ignore"):
+            return mixed((self._total[stop] - self._total[self.begin]) * self._inverse[self.begin])
+
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
