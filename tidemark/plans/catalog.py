@@ -1,32 +1,6 @@
 """All queries of the analytics library by name, each with its SQL where SQL can express it."""
 
-from __future__ import annotations
+from tidemark.plans import aggregates, calendars, evaluation, joins, numbers, scans, streams, texts, trends, windows  # noqa: F401
+from tidemark.plans.registry import QUERIES, SQL
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    """Registers a query (spark, sf_dir) -> DataFrame and the SQL that gives the same rows."""
-
-    def register(f):
-        QUERIES[name] = f
-        if sql:
-            SQL[name] = sql
-        return f
-
-    return register
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-@query("week_trend")
-def week_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"))
+__all__ = ["QUERIES", "SQL"]
