@@ -1,4 +1,4 @@
-"""Byte-level BPE with the tokenizers library, one call for the words that a worker has not met yet."""
+"""Byte-level BPE with the tokenizers library, called for the words that a worker has not met yet."""
 
 from __future__ import annotations
 
@@ -38,6 +38,20 @@ def cut(text: str) -> list[str]:
     return list(filter(None, text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")))
 
 
+class Remembered(dict):
+    """Words and their encodings; a word that is missing is learned, and all are forgotten when there are too many."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= WORDS:
+            self.clear()
+        found = self[word] = self.learn(word)
+        return found
+
+
 class WordEncoder:
     """Ids of texts as little-endian unsigned integers of 16 bits (32 where the vocabulary needs it)."""
 
@@ -47,9 +61,10 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.encode_special_tokens = True
+        self.tokenize = self.tokenizer.model.tokenize
         self.dtype = id_type(self.tokenizer.get_vocab_size())
         self.code = "H" if self.dtype.itemsize == 2 else "I"
-        self.words: dict[str, bytes] = {}
+        self.words = Remembered(self.learn)
         said = json.loads(spec)
         before = said.get("pre_tokenizer") or {}
         #: Byte-level BPE on the usual words: cuts at white space change nothing there, and a word of letters is one unit of the model.
@@ -59,32 +74,19 @@ class WordEncoder:
     def ids(self, numbers: list[int]) -> bytes:
         return array(self.code, numbers).tobytes()
 
-    def learn(self, words: list[str]) -> None:
-        """Words of Latin letters, with a blank before and a full stop or comma after or not, go to the library's model directly; others through its whole pipeline."""
-        tokenize, others = self.tokenizer.model.tokenize, []
-        for w in words:
-            core, tail = w.removeprefix(" "), b""
-            if core[-1:] in self.marks:
-                core, tail = core[:-1], self.marks[core[-1]]
-            if self.by_word and core.isalpha() and (core.isascii() or max(core) < "\u0250"):
-                unit = core if core.isascii() else core.encode().decode("latin-1").translate(BYTE_LETTERS)
-                self.words[w] = self.ids([t.id for t in tokenize(SPACE_LETTER + unit if w[0] == " " else unit)]) + tail
-            else:
-                others.append(w)
-        for w, x in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
-            self.words[w] = self.ids(x.ids)
+    def learn(self, word: str) -> bytes:
+        """A word of Latin letters, with a blank before and a full stop or comma after or not, goes to the library's model directly; others through its whole pipeline."""
+        core, tail = word.removeprefix(" "), b""
+        if core[-1:] in self.marks:
+            core, tail = core[:-1], self.marks[core[-1]]
+        if self.by_word and core.isalpha() and (core.isascii() or max(core) < "\u0250"):
+            unit = core if core.isascii() else core.encode().decode("latin-1").translate(BYTE_LETTERS)
+            return self.ids([t.id for t in self.tokenize(SPACE_LETTER + unit if word[0] == " " else unit)]) + tail
+        return self.ids(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cuts = [(cut(t) if self.by_word else [t]) if t else [] for t in texts]
-        wanted = set().union(*cuts)
-        missing = wanted.difference(self.words)
-        if len(self.words) + len(missing) > WORDS:
-            self.words.clear()
-            missing = wanted
-        if missing:
-            self.learn(list(missing))
         get = self.words.__getitem__
-        return [b"".join(map(get, c)) for c in cuts]
+        return [b"".join(map(get, cut(t) if self.by_word else [t])) if t else b"" for t in texts]
 
 
 def id_type(size: int) -> np.dtype:
