@@ -1 +1,76 @@
-"""To come."""
+"""Streaming jobs run to the end of their input; each has the batch answer as its SQL."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import functions as F
+
+from tidemark.plans.registry import query, table
+from tidemark.streaming import counters
+
+
+def _folder(spark) -> str:
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="tidemark-")
+
+
+def _stream(spark, d, name):
+    return spark.readStream.schema(table(spark, d, name).schema).parquet(f"{d}/{name}.parquet*")
+
+
+@query("r1_pending_queue", "select doc_id from documents where doc_id not in (select doc_id from labels)")
+def r1(spark, d):
+    from tidemark.operators.relational import pending
+
+    return pending(table(spark, d, "documents").select("doc_id"), table(spark, d, "labels"), ["doc_id"])
+
+
+@query("r2_ingest_once", "select user_id, event_type from events group by 1, 2")
+def r2(spark, d):
+    f = _folder(spark)
+    counters.ingest_once(_stream(spark, d, "events").select("user_id", "event_type", "event_id"), ["user_id", "event_type"], f"{f}/target", f"{f}/checkpoint", ["event_id"]).awaitTermination()
+    return spark.read.parquet(f"{f}/target").select("user_id", "event_type")
+
+
+@query("r3_running_counters", "select cast(ts as date) as date, event_type, count(*) as count from events group by 1, 2")
+def r3(spark, d):
+    f = _folder(spark)
+    counters.run_counters(_stream(spark, d, "events"), "ts", ["event_type", "user_id"], f"{f}/out", f"{f}/checkpoint").awaitTermination()
+    return counters.counters(spark.read.parquet(f"{f}/out/event_type"), "event_type")
+
+
+@query("r4_late_arrivals", """
+select event_id, case when event_id % 20 = 0 and cast(ts as date) < date '2024-01-15' then date '2024-01-15' else cast(ts as date) end as day from events""")
+def r4(spark, d):
+    day = F.to_date("ts")
+    processed = F.when(F.col("event_id") % 20 == 0, F.lit("2024-01-15").cast("date")).otherwise(day)
+    return table(spark, d, "events").select("event_id", counters.late_day(day, processed, F.lit(True)).alias("day"))
+
+
+@query("r6_failure_streak", "with f as (select event_id, event_type = 'error' as failed from events) select event_id, failed and coalesce(lag(failed) over (order by event_id), false) as tripped from f where event_id < 2000")
+def r6(spark, d):
+    from pyspark.sql import Window
+
+    failed = F.col("event_type") == "error"
+    e = table(spark, d, "events").where("event_id < 2000").select("event_id", failed.alias("failed"))
+    return e.select("event_id", (F.col("failed") & F.coalesce(F.lag("failed").over(Window.orderBy("event_id")), F.lit(False))).alias("tripped"))
+
+
+@query("r7_tumbling_weeks", """
+select cast(date '1970-01-01' + cast(date_diff('day', date '1970-01-01', cast(ts as date)) // 7 * 7 as integer) as date) as start, event_type, count(*) as n from events group by 1, 2""")
+def r7(spark, d):
+    return counters.weekly(_stream_batch(spark, d), "ts", "event_type").select("start", "event_type", "n")
+
+
+def _stream_batch(spark, d):
+    """The batch form of the event stream: the same plan runs on both."""
+    return table(spark, d, "events")
+
+
+@query("r9_first_in_run", "select doc_id, min(doc_id) over (partition by md5(text)) as first_doc from documents")
+def r9(spark, d):
+    from tidemark.operators.relational import duplicates_of_first
+
+    return duplicates_of_first(table(spark, d, "documents").select("doc_id", F.md5("text").alias("h")), ["h"], ["doc_id"]).select("doc_id", F.col("first_doc_id").alias("first_doc"))

@@ -1 +1,237 @@
-"""To come."""
+"""Text rules over documents, pages and conversations."""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from tidemark.functions import places, text, web
+from tidemark.plans.registry import query, table
+
+
+def docs(spark, d):
+    return table(spark, d, "documents")
+
+
+SQUEEZED = r"trim(regexp_replace(text, '\s+', ' ', 'g'))"
+
+
+@query("x1_normalised", rf"select doc_id, md5(replace(lower({SQUEEZED}), 'ß', 'ss')) as folded from documents")
+def x1(spark, d):
+    return docs(spark, d).select("doc_id", F.md5(text.normalised(F.col("text"))).alias("folded"))
+
+
+@query("x2_text_hash", rf"select doc_id, case when length(n) < 200 then '' else sha256(n) end as hash from (select doc_id, replace(lower({SQUEEZED}), 'ß', 'ss') as n from documents)")
+def x2(spark, d):
+    return docs(spark, d).select("doc_id", text.text_hash(F.col("text")).alias("hash"))
+
+
+@query("x4_named_words", r"""
+with w as (select * from (values ('A', '(^|[^\w-])(the|that)s?([^\w]|$)'), ('B', '(^|[^\w-])(Er|Die)s?([^\w]|$)|(^|[^\w])([Ee]nt)\w{0,4}'), ('C', '(^|[^\w-])(ment)s?([^\w]|$)')) t(code, p))
+select doc_id, coalesce(list_sort(list(code) filter (where regexp_matches(regexp_replace(text, '[^A-Za-z0-9\s-]', '.', 'g'), p))), []) as codes from documents, w group by 1""")
+def x4(spark, d):
+    # the rule on words that the invented prose has; letters beyond ASCII become full stops, as SQL's \w is ASCII only
+    plain = F.regexp_replace("text", r"[^A-Za-z0-9\s-]", ".")
+    codes = places.named(plain, {"A": ["the", "that"], "B": ["Er", "Die"], "C": ["ment"]}, {"B": ["ent"]})
+    return docs(spark, d).select("doc_id", codes.alias("codes"))
+
+
+@query("x5_item_text", "select doc_id, md5(left(text, 20) || ' ' || chr(10) || ' ' || '' || ' ' || chr(10) || ' ' || coalesce(lang, '')) as m from documents")
+def x5(spark, d):
+    return docs(spark, d).select("doc_id", F.md5(places.item_text(F.substring("text", 1, 20), F.lit(None).cast("string"), F.col("lang"))).alias("m"))
+
+
+NAMES = ("The_Guardian_0101.pdf", "Die Welt - 3 May 2024.pdf", "Welt am Sonntag.pdf", "la-times 4.pdf", "The Times UK.pdf", "wsj_2708.pdf", "WSJ Magazine.pdf", "USA Today Sports Weekly.pdf", "TE-2024-05-01 WEB.pdf", "Dein Spiegel.pdf", "Der_Spiegel_12.pdf", "FAZ 2.pdf", "other.pdf")
+
+
+@query("x6_recognised_title", """
+select supplier.s_suppkey, [""" + ", ".join("'" + n + "'" for n in NAMES) + """][s_suppkey % 13 + 1] as name,
+       ['Guardian', 'Die Welt', null, 'Los Angeles Times', null, 'Wall Street Journal', null, null, 'Economist', null, 'Der Spiegel', 'Frankfurter Allgemeine Zeitung', null][s_suppkey % 13 + 1] as title from supplier""")
+def x6(spark, d):
+    name = F.get(F.array(*map(F.lit, NAMES)), (F.col("s_suppkey") % len(NAMES)).cast("int"))
+    return table(spark, d, "supplier").select("s_suppkey", name.alias("name"), places.recognised_title(name).alias("title"))
+
+
+AGENTS = ("Mozilla/5.0 Chrome/1 Safari/1 Edg/1", "Mozilla/5.0 Chrome/1 Safari/1 OPR/9", "Mozilla/5.0 (Linux; Android 1) Chrome/1 Mobile", "Firefox/3", "Version/1 Safari/5 (iPad)", "curl/8", "")
+
+
+@query("x7_browser", "select event_id, ['Edge', 'Opera', 'Chrome', 'Firefox', 'Safari', 'Other', 'Other'][event_id % 7 + 1] as browser from events")
+def x7(spark, d):
+    agent = F.get(F.array(*map(F.lit, AGENTS)), (F.col("event_id") % 7).cast("int"))
+    return table(spark, d, "events").select("event_id", web.browser_family(agent).alias("browser"))
+
+
+@query("x8_device", "select event_id, ['desktop', 'desktop', 'mobile', 'desktop', 'mobile', 'desktop', 'other'][event_id % 7 + 1] as device from events")
+def x8(spark, d):
+    agent = F.get(F.array(*map(F.lit, AGENTS)), (F.col("event_id") % 7).cast("int"))
+    return table(spark, d, "events").select("event_id", web.device_family(agent).alias("device"))
+
+
+@query("x9_primary_language", r"select page_id, case when l = '' then 'unknown' else lower(split_part(split_part(l, '-', 1), ';', 1)) end as language from (select page_id, coalesce(regexp_extract(html, '<html lang=\"([^\"]*)\"', 1), '') || case page_id % 3 when 0 then '-XX,de;q=0.5' when 1 then ';q=1, fr' else '' end as l from pages)")
+def x9(spark, d):
+    header = F.concat(F.regexp_extract("html", '<html lang="([^"]*)"', 1), F.when(F.col("page_id") % 3 == 0, "-XX,de;q=0.5").when(F.col("page_id") % 3 == 1, ";q=1, fr").otherwise(""))
+    return table(spark, d, "pages").select("page_id", web.primary_language(header).alias("language"))
+
+
+@query("x10_referrer_host", r"select page_id, case when page_id % 9 = 0 then 'direct' else lower(regexp_extract(url, '^https?://([^/:?#]+)', 1)) end as host from pages")
+def x10(spark, d):
+    url = F.when(F.col("page_id") % 9 == 0, F.when(F.col("page_id") % 2 == 0, "no address")).otherwise(F.col("url"))
+    return table(spark, d, "pages").select("page_id", web.referrer_host(url).alias("host"))
+
+
+@query("x11_gist", "select doc_id, case when length(trim(text)) > 280 then left(trim(text), 280) || '...' else trim(text) end as gist from documents")
+def x11(spark, d):
+    return docs(spark, d).select("doc_id", text.gist(F.col("text")).alias("gist"))
+
+
+@query("x12_first_words", rf"select doc_id, array_to_string(string_split({SQUEEZED}, ' ')[1:6], ' ') as head from documents")
+def x12(spark, d):
+    return docs(spark, d).select("doc_id", text.first_words(F.col("text")).alias("head"))
+
+
+@query("x13_word_count", rf"select doc_id, case when {SQUEEZED} = '' then 0 else len(string_split({SQUEEZED}, ' ')) end as words from documents")
+def x13(spark, d):
+    return docs(spark, d).select("doc_id", text.word_count(F.col("text")).alias("words"))
+
+
+@query("x14_over_ceiling", rf"select doc_id, len(string_split({SQUEEZED}, ' ')) > 250 as strict, len(string_split({SQUEEZED}, ' ')) > 275 as tolerant from documents where {SQUEEZED} != ''")
+def x14(spark, d):
+    strict, tolerant = text.over_ceiling(text.word_count(F.col("text")), 250)
+    return docs(spark, d).where(text.squeezed(F.col("text")) != "").select("doc_id", strict.alias("strict"), tolerant.alias("tolerant"))
+
+
+@query("x15_foreign_letters", r"select doc_id, list_sort(list_distinct(regexp_extract_all(text, '[éèßñ]'))) as letters from documents")
+def x15(spark, d):
+    return docs(spark, d).select("doc_id", text.foreign_letters(F.regexp_replace("text", r"[^éèßñ\sA-Za-z]", ""), "[A-Za-z]").alias("letters"))
+
+
+@query("x16_tells", "select doc_id, [t for t in ['the ', 'idiot', 'ung', 'quoi'] if contains(text, t)] as found from documents")
+def x16(spark, d):
+    return docs(spark, d).select("doc_id", text.tells(F.col("text"), ["the ", "idiot", "ung", "quoi"]).alias("found"))
+
+
+@query("x17_mixed_words", r"select doc_id, [w for w in regexp_extract_all(text, '[\p{L}\p{M}]+') if regexp_matches(w, '[éè]') and regexp_matches(w, '[A-Z]')] as words from documents")
+def x17(spark, d):
+    return docs(spark, d).select("doc_id", text.mixed_script_words(F.col("text"), "[éè]", "[A-Z]").alias("words"))
+
+
+@query("x18_prefix_repair", r"select doc_id, md5(regexp_replace(regexp_replace(left(text, 400), '(^|[^\p{L}])(é)([a-z])', '\1\2-\3', 'g'), '(^|[^\p{L}])(éé+)([a-z])', '\1\2 \3', 'g')) as repaired from documents")
+def x18(spark, d):
+    return docs(spark, d).select("doc_id", F.md5(text.joined_prefix_repaired(F.substring("text", 1, 400), "é", "[a-z]")).alias("repaired"))
+
+
+@query("x19_leftover_tags", r"select page_id, cast(len(regexp_extract_all(html, '</?\w+>?')) as integer) as n from pages")
+def x19(spark, d):
+    return table(spark, d, "pages").select("page_id", F.size(text.leftover_tags(F.col("html"))).alias("n"))
+
+
+@query("x20_script_ratio", r"select doc_id, case when length(regexp_replace(text, '[^\p{L}]', '', 'g')) >= 40 then round(length(regexp_replace(text, '[^a-z]', '', 'g')) / length(regexp_replace(text, '[^\p{L}]', '', 'g')), 6) end as ratio from documents")
+def x20(spark, d):
+    return docs(spark, d).select("doc_id", F.round(text.script_ratio(F.col("text"), "a-z"), 6).alias("ratio"))
+
+
+@query("x21_defects", r"select doc_id, case when length(text) < 50 then 'short' when regexp_matches(text, '</\w+') then 'tag' when regexp_matches(text, '!!') then 'shouting' end as priority from documents")
+def x21(spark, d):
+    found = F.array_compact(F.array(F.when(F.length("text") < 50, "short"), F.when(F.size(text.leftover_tags(F.col("text"))) > 0, F.when(F.col("text").rlike(r"</\w+"), "tag")), F.when(F.col("text").contains("!!"), "shouting")))
+    return docs(spark, d).select("doc_id", F.get(found, F.lit(0)).alias("priority"))
+
+
+@query("x22_name_forms", r"select doc_id, cast(len(regexp_extract_all(text, '(?:^|[^A-Za-z])(the)')) as integer) as forms from documents")
+def x22(spark, d):
+    return docs(spark, d).select("doc_id", F.regexp_count("text", F.lit("(?<![A-Za-z])the")).alias("forms"))
+
+
+@query("x23_suspicious", r"select doc_id, length(text) < 50 or regexp_matches(text, '</\w+') or regexp_matches(trim(text), '^\d+$') as suspicious from documents")
+def x23(spark, d):
+    return docs(spark, d).select("doc_id", text.is_suspicious(F.col("text")).alias("suspicious"))
+
+
+@query("x24_claimed_sources", "select doc_id, [doc_id % 9 + 2] as claimed from documents")
+def x24(spark, d):
+    n = (F.col("doc_id") % 9).cast("int")
+    word = F.when(F.col("doc_id") % 2 == 0, F.get(F.array(*map(F.lit, text.NUMBER_WORDS["en"])), n)).otherwise((n + 2).cast("string"))
+    said = F.concat(F.lit("Here "), word, F.lit(" daily newspapers differ."))
+    return docs(spark, d).select("doc_id", F.transform(text.claimed_sources(said, "en"), lambda x: x.cast("long")).alias("claimed"))
+
+
+@query("x25_opening_sentence", r"select doc_id, case when regexp_matches(t, '(?s)^.+?[.!?](\s|$)') then regexp_extract(t, '(?s)^(.+?[.!?])(\s|$)', 1) else left(t, 300) end as opening from (select doc_id, replace(trim(text), 'U.S.', 'US') as t from documents)")
+def x25(spark, d):
+    return docs(spark, d).select("doc_id", text.opening_sentence(F.col("text")).alias("opening"))
+
+
+@query("x27_same_country_groups", "select n_name, list_sort(list(s_name)) as names from supplier join nation on n_nationkey = s_nationkey where n_name != 'FRANCE' group by 1 having count(*) >= 2")
+def x27(spark, d):
+    s = table(spark, d, "supplier").join(F.broadcast(table(spark, d, "nation")), F.col("n_nationkey") == F.col("s_nationkey")).where("n_name != 'FRANCE'")
+    return s.groupBy("n_name").agg(F.array_sort(F.collect_set("s_name")).alias("names")).where(F.size("names") >= 2)
+
+
+@query("x26_origin_groups", r"""
+with t as (select doc_id, unnest(regexp_extract_all(left(text, 600), '[A-Za-z]+')) as w, generate_subscripts(regexp_extract_all(left(text, 600), '[A-Za-z]+'), 1) as i from documents)
+select a.doc_id, cast(count(distinct lower(a.w)) as integer) as origins from t a where lower(a.w) in ('the', 'and', 'of') and exists (select 1 from t b where b.doc_id = a.doc_id and b.i between a.i + 1 and a.i + 5 and lower(b.w) in ('that', 'with', 'is')) group by 1""")
+def x26(spark, d):
+    # an origin word counts where one of the five words after it is a noun of the press
+    words = docs(spark, d).select("doc_id", F.transform(F.regexp_extract_all(F.substring("text", 1, 600), F.lit("[A-Za-z]+"), F.lit(0)), F.lower).alias("w"))
+    near = F.filter(F.transform("w", lambda x, i: F.when(x.isin("the", "and", "of") & F.arrays_overlap(F.slice("w", i + 2, 5), F.array(*map(F.lit, ("that", "with", "is")))), x)), lambda x: x.isNotNull())
+    return words.select("doc_id", F.size(F.array_distinct(near)).alias("origins")).where("origins > 0")
+
+
+@query("x29_section_audit", r"""
+select doc_id, 'short' as flag from documents where length(text) < 50 union all select doc_id, 'tag' from documents where regexp_matches(text, '</\w+')
+union all select doc_id, 'shouting' from documents where contains(text, '!!') union all select doc_id, 'number' from documents where regexp_matches(text, '\d{6,}')""")
+def x29(spark, d):
+    checks = {"short": F.length("text") < 50, "tag": F.col("text").rlike(r"</\w+"), "shouting": F.col("text").contains("!!"), "number": F.col("text").rlike(r"\d{6,}")}
+    flags = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in checks.items()]))
+    return docs(spark, d).select("doc_id", F.explode(flags).alias("flag"))
+
+
+@query("x30_one_for_and", "select doc_id, doc_id % 4 = 0 as wrong from documents")
+def x30(spark, d):
+    said = F.when(F.col("doc_id") % 4 == 0, "Herr Brandt-1 Smith").when(F.col("doc_id") % 4 == 1, "the B-1 bomber").otherwise("Brandt and Smith")
+    return docs(spark, d).select("doc_id", text.one_for_and(said).alias("wrong"))
+
+
+@query("x31_word_set", r"select conv_id, turn, list_sort(list_distinct(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{3,}'))) as words from conversations")
+def x31(spark, d):
+    return table(spark, d, "conversations").select("conv_id", "turn", text.word_set(F.col("text")).alias("words"))
+
+
+@query("x32_excerpt", "select d.doc_id, b.item_id from documents d, benchmark b where contains(d.text, b.text)")
+def x32(spark, d):
+    # benchmark is a table of fixed size; each excerpt is looked up in every text by its first words
+    items = table(spark, d, "benchmark")
+    return docs(spark, d).join(F.broadcast(items.select("item_id", F.col("text").alias("excerpt"))), F.col("text").contains(F.col("excerpt"))).select("doc_id", "item_id")
+
+
+@query("x33_sequence_ratio")
+def x33(spark, d):
+    from difflib import SequenceMatcher
+
+    @F.pandas_udf("double")
+    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([SequenceMatcher(None, x, y, autojunk=False).ratio() for x, y in zip(a, b, strict=True)])
+
+    c = table(spark, d, "conversations").select("conv_id", "turn", F.substring("text", 1, 200).alias("t"))
+    following = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("t").alias("next"))
+    return c.join(following, ["conv_id", "turn"]).select("conv_id", "turn", F.round(ratio("t", "next"), 6).alias("ratio"))
+
+
+@query("x34_content_key", "select doc_id, left(sha256('[\"' || lang || '\",\"' || source || '\"]'), 16) as key from documents")
+def x34(spark, d):
+    return docs(spark, d).select("doc_id", text.content_key(F.col("lang"), F.col("source")).alias("key"))
+
+
+@query("x35_html_escape", "select page_id, md5(replace(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#39;')) as escaped from pages")
+def x35(spark, d):
+    return table(spark, d, "pages").select("page_id", F.md5(text.html_escaped(F.col("html"))).alias("escaped"))
+
+
+@query("x36_custom_ids", "select conv_id, turn, 'p' || conv_id || '_' || turn as id, conv_id as parsed from conversations")
+def x36(spark, d):
+    c = table(spark, d, "conversations").select("conv_id", "turn", F.format_string("p%d_%d", "conv_id", "turn").alias("id"))
+    return c.withColumn("parsed", F.regexp_extract("id", r"^p(\d+)_(\d+)$", 1).cast("long"))
+
+
+@query("x37_labels", "select n_name, coalesce(case n_name when 'FRANCE' then 'Frankreich' when 'GERMANY' then 'Deutschland' end, n_name) as label from nation")
+def x37(spark, d):
+    names = F.create_map(*map(F.lit, ("FRANCE", "Frankreich", "GERMANY", "Deutschland")))
+    return table(spark, d, "nation").select("n_name", F.coalesce(F.try_element_at(names, F.col("n_name")), F.col("n_name")).alias("label"))
