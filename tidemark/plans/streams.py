@@ -74,3 +74,50 @@ def r9(spark, d):
     from tidemark.operators.relational import duplicates_of_first
 
     return duplicates_of_first(table(spark, d, "documents").select("doc_id", F.md5("text").alias("h")), ["h"], ["doc_id"]).select("doc_id", F.col("first_doc_id").alias("first_doc"))
+
+
+@query("s11_partitioned_sink", "select cast(ts as date) as day, event_id, 'en' as lang from events where event_id < 500 union all select cast(ts as date), event_id, 'de' from events where event_id < 500 and event_id % 2 = 0")
+def s11(spark, d):
+    from tidemark.sources.files import write_by_language
+
+    f = _folder(spark)
+    rows = table(spark, d, "events").where("event_id < 500").withColumn("day", F.to_date("ts"))
+    write_by_language(rows, "day", "event_id", {"en": F.col("event_type"), "de": F.when(F.col("event_id") % 2 == 0, F.col("event_type"))}, f"{f}/out")
+    return spark.read.schema("event_id bigint, text string, day date, lang string").json(f"{f}/out").select("day", "event_id", "lang")
+
+
+@query("s13_csv_sink", "select p_partkey, p_name, p_retailprice from part")
+def s13(spark, d):
+    f = _folder(spark)
+    rows = table(spark, d, "part").select("p_partkey", "p_name", "p_retailprice")
+    rows.write.csv(f"{f}/out", header=True)
+    return spark.read.csv(f"{f}/out", header=True, schema=rows.schema)
+
+
+@query("s15_usage_log", "select l_orderkey, cast(l_linenumber as bigint) as tokens from lineitem where l_linenumber % 2 = 0")
+def s15(spark, d):
+    from tidemark.sources.files import append_usage
+
+    f = _folder(spark)
+    tokens = F.when(F.col("l_linenumber") % 2 == 0, F.col("l_linenumber").cast("string")).otherwise("n/a")
+    append_usage(table(spark, d, "lineitem").select("l_orderkey", tokens.alias("tokens")), f"{f}/log", ["tokens"])
+    return spark.read.parquet(f"{f}/log")
+
+
+@query("f10_skip_list", "select l_suppkey as id, count(*) as n from lineitem where l_suppkey in (3, 17, 44) group by 1")
+def f10(spark, d):
+    from tidemark.sources.files import skip_list
+
+    f = _folder(spark)
+    lines = spark.createDataFrame([("# suspended",), ("3",), ("17 # twice",), ("",), ("x9",), ("44",)], "value string")
+    lines.write.text(f"{f}/skip")
+    ids, _ = skip_list(spark, f"{f}/skip")
+    li = table(spark, d, "lineitem").join(F.broadcast(ids), F.col("l_suppkey") == F.col("id"), "left_semi")
+    return li.groupBy(F.col("l_suppkey").alias("id")).agg(F.count("*").alias("n"))
+
+
+@query("x3_file_hashes")
+def x3(spark, d):
+    from tidemark.sources.files import file_hashes
+
+    return file_hashes(spark, f"{d}/region.parquet").select("sha256")
