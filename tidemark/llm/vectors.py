@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,10 +67,12 @@ def _stripes(axes, width: float):
 
     def run(batches):
         for batch in batches:
-            x = _matrix(batch.column("vector")) if batch.num_rows else None
-            if x is not None:
-                first = _unit(x) @ axes.value[x.shape[1]][:, 0]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.floor(first / width).astype(np.int64))], [*batch.schema.names, "stripe"])
+            first = np.zeros(batch.num_rows)
+            lengths = np.asarray(pc.list_value_length(batch.column("vector")))
+            for n in np.unique(lengths):
+                at = np.flatnonzero(lengths == n)
+                first[at] = _unit(_matrix(batch.column("vector").take(pa.array(at)))) @ axes.value[n][:, 0]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.floor(first / width).astype(np.int64))], [*batch.schema.names, "stripe"])
 
     return run
 
