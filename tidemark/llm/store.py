@@ -23,9 +23,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """df computed once and cut from its lineage, in the shared folder, so that a lost executor costs only its running tasks."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """df computed once and cut from its lineage: a Parquet table in the shared folder, so that a lost executor costs only its running tasks.
+
+    A written table has the size that it has. A checkpoint would pass on the estimate of its plan, and estimates of
+    joins are products, which grow past all bounds over the rounds of an iteration.
+    """
+    folder = fresh_folder(df.sparkSession, "table")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
