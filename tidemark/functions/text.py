@@ -119,7 +119,7 @@ def leftover_tags(text: Column) -> Column:
 def claimed_sources(text: Column, lang: str) -> Column:
     """Numbers, as digits or words, that stand before a noun for newspapers."""
     words = NUMBER_WORDS[lang]
-    pattern = rf"(?i)\b(\d+|{'|'.join(words)})\s+(?:\w+\s+)?(?:{SOURCE_NOUNS[lang]})\b"
+    pattern = rf"(?iU)\b(\d+|{'|'.join(words)})\s+(?:\w+\s+)?(?:{SOURCE_NOUNS[lang]})\b"
     found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(1))
     return F.transform(found, lambda x: F.coalesce(x.try_cast("int"), (F.array_position(F.array(*map(F.lit, words)), F.lower(x)) + 1).cast("int")))
 
