@@ -249,7 +249,7 @@ def test_mixing(spark, awkward, empty):
     order = [r.position for r in mixing.training_order(mixing.plan(awkward)).collect()]
     assert order == sorted(order)
     whole = mixing.plan(awkward, whole=True, keep=["text", "size"]).collect()
-    assert all(p.words == r.size for r in whole for p in r.placements) and all(r["size"] is not None for r in whole)
+    assert all(p.words == r.size for r in whole for p in r.placements) and all(r.kept_size == 6 for r in whole)
 
 
 def test_mixing_matches_sql(spark, duck):

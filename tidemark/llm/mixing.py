@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.sampling import carried
 from tidemark.llm.store import shuffle_width
 
 Schedule = Sequence[tuple[float, float]]
@@ -60,7 +61,7 @@ def _demand_time(schedules: Sequence[Schedule], place: Column, asked: Column) ->
 
 
 def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST, schedules: Sequence[Schedule] = SCHEDULES, whole: bool = False, salt: str = "mix", text: str = "text", doc_id: str = "doc_id", source: str = "source", keep: Sequence[str] = ()) -> DataFrame:
-    """One row per row of docs: doc_id, source, size, source_size, target, taken, placements (array of turn, position, words) and the columns named in keep.
+    """One row per row of docs: doc_id, source, size, source_size, target, taken, placements (array of turn, position, words) and the columns named in keep, as kept_<name>.
 
     Within its source a document has a place in the order of md5(salt + doc_id), the same in every run. Passes over
     the source in that order make a line of words; the mix takes the first `target` words of it, so a document is
@@ -75,7 +76,7 @@ def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHA
     Null texts have size 0, and rows of size 0 are never taken (whole=True: once, at their place). Null sources are a source of their own, last.
     Repeated rows are documents each. An empty table gives no rows.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), words(F.col(text)).alias("size"), *[F.col(c).alias(f"_kept_{c}") for c in keep])
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), words(F.col(text)).alias("size"), *carried(docs, keep))
     key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null"))
     rows = rows.withColumns({"_key": key, "_order": F.md5(F.concat(F.lit(salt), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))})
     rows = rows.withColumn("_bucket", F.conv(F.substring("_order", 1, 3), 16, 10).cast("int"))
@@ -104,7 +105,7 @@ def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHA
     placed = F.filter(F.array(*[placement(t) for t in range(turns)]), lambda p: p.isNotNull())
     taken = F.aggregate("placements", F.lit(0).cast("long"), lambda a, p: a + p["words"])
     rows = rows.withColumn("placements", placed)
-    return rows.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "placements", *[F.col(f"_kept_{c}").alias(c) for c in keep if c not in ("doc_id", "source")])
+    return rows.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "placements", *[f"kept_{c}" for c in keep])
 
 
 def training_order(planned: DataFrame) -> DataFrame:
