@@ -41,8 +41,8 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes whole documents, repeated or left out as their source's target asks, in training order."""
-    planned = mixing.plan(docs.select("*"), whole=True, keep=docs.columns)
-    return mixing.training_order(planned).select(*docs.columns)
+    planned = mixing.plan(docs, whole=True, keep=docs.columns)
+    return _restored(mixing.training_order(planned), docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
