@@ -135,6 +135,29 @@ def test_near_duplicates_in_dense_groups(spark):
     assert found == component
 
 
+def family(n, linked=lambda a, b: True):
+    """n texts that share 86 of 100 shingles, and two amid them, at a third and two thirds of the ids, that share 93 and are the only link."""
+    word = lambda: "".join(random.choice(string.ascii_lowercase) for _ in range(6))
+    base = [word() for _ in range(97)]
+    rows = {i: " ".join(base[:90] + [word() for _ in range(14)]) for i in range(n)}
+    a, b = n // 3, 2 * n // 3
+    while True:
+        rows[a], rows[b] = (" ".join(base + [word() for _ in range(7)]) for _ in range(2))
+        if linked(rows[a], rows[b]):
+            return rows, {i: a if i == b else i for i in rows}
+
+
+def components_of(spark, rows):
+    return {r.doc_id: r.component_id for r in near_duplicates(table(spark, [(i, t, "en", "a") for i, t in rows.items()])).collect()}
+
+
+def test_near_duplicates_far_apart_in_a_large_family(spark):
+    """The link's rows are over 512 places apart in all orders."""
+    random.seed(11)
+    rows, wanted = family(6000)
+    assert components_of(spark, rows) == wanted
+
+
 def test_packed_ids_round_trip():
     random.seed(2)
     values = np.array([random.choice([0, 1, 255, 256, 65535, 65536, 1 << 24, (1 << 32) - 1]) for _ in range(4000)], np.uint32)

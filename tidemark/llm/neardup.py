@@ -6,7 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components
@@ -20,13 +20,10 @@ TREES, DEPTH, LEAST = 16, 8, 3
 REGION = 16
 #: Neighbours in sorted order that are compared in every region, however large.
 NEAR = 3
-#: Rows of a dense region that are compared by their signatures on either side of a row, where the links so far leave
-#: them in different components; pairs of two such components that are confirmed first, most alike ones before others.
-REACH, FIRST = 512, 16
+#: Rows of a dense region that go to a task together, and their shingles.
+BLOCK, BLOCK_SHINGLES = 1024, 200_000
 #: Share of equal minhashes below which a similarity of 0.85 is ruled out (five standard deviations of 128).
 LIKELY = 0.69
-#: The same for rows of dense regions that neighbours left apart, of which each has many such pairs (two and a half deviations).
-LIKELY_APART = 0.77
 #: Bytes that are kept of a shingle's hash where two documents' sets are compared.
 KEPT = 5
 
@@ -53,16 +50,14 @@ def _sketch(batches):
         for lo, hi in pieces(texts):
             h, at = shingles(Words(texts.slice(lo, hi - lo).to_pylist()))
             signatures, row = _signatures(h, at), 0
-            short = (signatures & 255).astype(np.uint8)
-            sizes, keys, sigs, shorts = [], [], [], []
+            sizes, keys, sigs = [], [], []
             for i in range(hi - lo):
                 own = np.unique(h[at[i] : at[i + 1]])
                 sizes.append(len(own))
                 keys.append(hashlib.md5(own.tobytes()).digest() if len(own) else None)
                 sigs.append(signatures[row].tobytes() if len(own) else None)
-                shorts.append(short[row].tobytes() if len(own) else None)
                 row += len(own) > 0
-            yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary()), pa.array(shorts, pa.binary())], ["doc_id", "n_shingles", "key", "sig", "short"])
+            yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())], ["doc_id", "n_shingles", "key", "sig"])
 
 
 def _sets(batches):
@@ -149,72 +144,91 @@ def _regions(tree: np.ndarray, prefixes: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(cut)])
 
 
-def _unjoined(rows: pa.Table, percent: int) -> pa.Table:
-    """Pairs of a dense region's sorted rows that lie within REACH of each other, are in different components and whose signatures are alike enough."""
-    tree, prefixes, ids = _arrays(rows)
-    comp, sizes_of = np.asarray(rows.column("comp")), np.asarray(rows.column("n"))
-    short = np.frombuffer(b"".join(rows.column("short").to_pylist()), np.uint8).reshape(len(ids), -1)
-    found: list[tuple[np.ndarray, ...]] = []
-    bounds = np.flatnonzero(np.diff(_regions(tree, prefixes), prepend=-1, append=-1)) if len(ids) else []
-    for start, stop in zip(bounds, bounds[1:], strict=False):
-        c, s, size = comp[start:stop], short[start:stop], sizes_of[start:stop]
-        names, sizes = np.unique(c, return_counts=True)
-        if len(names) < 2:
-            continue
-        # one side of each such pair is outside the region's largest component
-        rare = c != names[sizes.argmax()]
-        for i in np.flatnonzero(rare):
-            lo, hi = max(0, i - REACH), min(len(c), i + REACH + 1)
-            alike = (s[lo:hi] == s[i]).mean(axis=1)
-            # sets whose sizes differ by more than the similarity allows are out
-            fits = 100 * np.minimum(size[lo:hi], size[i]) >= percent * np.maximum(size[lo:hi], size[i])
-            j = np.flatnonzero((alike >= LIKELY_APART) & fits & (c[lo:hi] != c[i]) & (~rare[lo:hi] | (np.arange(lo, hi) > i)))
-            if len(j):
-                found.append((np.full(len(j), ids[start + i]), ids[start + lo + j], np.full(len(j), c[i]), c[lo + j], alike[j]))
-    a, b, ca, cb, alike = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 4 + (np.zeros(0),)
-    swap = ca > cb
-    a, b, ca, cb = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, cb, ca), np.where(swap, ca, cb)
-    return pa.table({"edge": pa.array(np.full(len(a), -1), pa.int32()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "ca": pa.array(ca, pa.int64()), "cb": pa.array(cb, pa.int64()), "alike": pa.array(alike, pa.float64())})
-
-
-_UNJOINED = "edge int, a long, b long, ca long, cb long, alike double, tree int, prefix binary, rep long, comp long, n long, short binary"
-_ROW = ("tree", "prefix", "rep", "comp", "n", "short")
+def _block_links(tokens: np.ndarray, sizes: np.ndarray, comps: np.ndarray, first: int, percent: int) -> list[tuple[int, int]]:
+    """Links of different components between a block's rows, or between its first rows and the others where `first` is not 0. Exact.
 
-
-def _scan_dense(percent: int):
-    """_unjoined() over a sorted partition; its first and last rows go out for the pairs across partitions, as in _scan_order."""
+    Rows are sets of tokens, one after another. Of two sets that are alike enough, the rarest tokens of the smaller one up to
+    the overlap that it needs and of the larger one up to the size that its partner has meet in one token at least,
+    in whatever order tokens are ranked. What meets is counted in full, unless the rows have got into one component.
+    """
+    n, comps = len(sizes), comps.copy()
+    named = comps.copy()
+    row, start = np.repeat(np.arange(n), sizes), np.concatenate([[0], np.cumsum(sizes)])
+    _, code, often = np.unique(tokens, return_inverse=True, return_counts=True)
+    by_rarity = np.argsort(often, kind="stable")
+    rank = np.empty_like(by_rarity)
+    rank[by_rarity] = np.arange(len(rank))
+    code, often = np.sort(row * len(rank) + rank[code]) - row * len(rank), often[by_rarity]
+    place, size = np.arange(len(code)) - start[row], sizes[row]
+    probe = (often[code] > 1) & (place <= size + (-percent * size) // 100)
+    index = probe & (place <= size + (-2 * percent * size) // (100 + percent))
+    probe, index = (np.flatnonzero(x)[np.argsort(code[x], kind="stable")] for x in (probe, index))
+    meet = np.zeros((n, n), bool)
+    bounds = np.flatnonzero(np.diff(code[index], prepend=-1, append=-1))
+    of = code[index][bounds[:-1]]
+    lo, hi = np.searchsorted(code[probe], of), np.searchsorted(code[probe], of, "right")
+    for i, j, k, m in zip(bounds, bounds[1:], lo, hi, strict=False):
+        if m - k > 1:
+            meet[row[index[i:j]][:, None], row[probe[k:m]]] = True
+    meet |= meet.T
+    meet &= (comps[:, None] != comps) & (100 * np.minimum(sizes[:, None], sizes) >= percent * np.maximum(sizes[:, None], sizes))
+    meet = np.triu(meet, 1)
+    if first:
+        meet[first:] = False
+        meet[:, :first] = False
+    links, own = [], np.zeros(len(rank), bool)
+    for i in np.flatnonzero(meet.any(axis=1)):
+        left, many = np.flatnonzero(meet[i]), 16
+        own[code[start[i] : start[i + 1]]] = True
+        while len(left := left[comps[left] != comps[i]]):
+            some, left, many = left[:many], left[many:], 4 * many
+            at = np.cumsum(sizes[some]) - sizes[some]
+            both = np.add.reduceat(own[code[np.arange(sizes[some].sum()) + np.repeat(start[some] - at, sizes[some])]].astype(np.int64), at)
+            for j in some[100 * both >= percent * (sizes[some] + sizes[i] - both)]:
+                if comps[j] != comps[i]:
+                    links.append((int(named[i]), int(named[j])))
+                    comps[comps == comps[j]] = comps[i]
+        own[code[start[i] : start[i + 1]]] = False
+    return links
+
+
+def _tokens(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, KEPT)
+    full = np.zeros((len(raw), 8), np.uint8)
+    full[:, :KEPT] = raw
+    return full.view(np.uint64).ravel(), np.array([len(x) // KEPT for x in packed], np.int64)
+
+
+def _scan_blocks(percent: int):
+    """_block_links() over pairs of blocks; same: of one block."""
 
     def scan(batches):
-        from pyspark import TaskContext
-
-        me = TaskContext.get().partitionId()
-        held, first = None, None
-
-        def full(t: pa.Table):
-            n = t.num_rows
-            types = {"edge": pa.int32(), "a": pa.int64(), "b": pa.int64(), "ca": pa.int64(), "cb": pa.int64(), "alike": pa.float64(), "tree": pa.int32(), "prefix": pa.binary(), "rep": pa.int64(), "comp": pa.int64(), "n": pa.int64(), "short": pa.binary()}
-            yield from pa.table({c: t.column(c) if c in t.column_names else pa.nulls(n, k) for c, k in types.items()}).to_batches()
-
         for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            if not rows.num_rows:
-                continue
-            first = rows.slice(0, REACH) if first is None else first if first.num_rows >= REACH else pa.concat_tables([first, rows]).slice(0, REACH)
-            rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
-            yield from full(_unjoined(rows, percent))
-            held = rows.slice(max(0, rows.num_rows - REACH))
-        if first is not None:
-            for rows, edge in ((first, me - 1), (held, me)):
-                yield from full(rows.append_column("edge", pa.array([edge] * rows.num_rows, pa.int32())))
+            for k in range(batch.num_rows):
+                one = batch.slice(k, 1)
+                sides = ["rows_a"] if one.column("a")[0] == one.column("b")[0] else ["rows_a", "rows_b"]
+                flat = [one.column(c).flatten() for c in sides]
+                packed = [x for f in flat for x in f.field("shingles").to_pylist()]
+                comps = np.concatenate([np.asarray(f.field("comp")) for f in flat])
+                links = _block_links(*_tokens(packed), comps, len(flat[0]) if len(flat) > 1 else 0, percent)
+                yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in links], pa.int64()) for c in (0, 1)], ["ca", "cb"])
 
     return scan
 
 
-def _unjoined_across(percent: int):
-    def across(rows):
-        return _unjoined(rows.sort_by([("tree", "ascending"), ("prefix", "ascending"), ("rep", "ascending")]), percent).drop_columns(["edge"])
+def _cut(batches):
+    """Numbers blocks of sorted rows: BLOCK rows of one region and kind, or BLOCK_SHINGLES shingles, at most. A longer set is a block of its own."""
+    from pyspark import TaskContext
 
-    return across
+    block, last, rows, total = TaskContext.get().partitionId() << 32, None, 0, 0
+    for batch in batches:
+        numbers = []
+        for key, n in zip(zip(*(batch.column(c).to_pylist() for c in ("tree", "region", "main")), strict=True), batch.column("n").to_pylist(), strict=True):
+            if key != last or rows >= BLOCK or total + n > BLOCK_SHINGLES:
+                block, last, rows, total = block + 1, key, 0, 0
+            rows, total = rows + 1, total + n
+            numbers.append(block)
+        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), *(batch.column(c) for c in ("tree", "region", "rep", "comp"))], ["block", "tree", "region", "rep", "comp"])
 
 
 _PAIRS = "edge int, tree int, prefix binary, a long, b long"
@@ -302,8 +316,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, text: str = "text", doc_
     """
     spark = docs.sparkSession
     wide = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sketches = settled(wide.mapInArrow(_sketch, "doc_id long, n_shingles long, key binary, sig binary, short binary"))
-    classes = settled(sketches.where("key is not null and doc_id is not null").groupBy("key").agg(F.min_by(F.struct("doc_id", "sig", "short", "n_shingles"), "doc_id").alias("one")).select("key", F.col("one.doc_id").alias("rep"), F.col("one.sig").alias("sig"), F.col("one.short").alias("short"), F.col("one.n_shingles").alias("n")))
+    sketches = settled(wide.mapInArrow(_sketch, "doc_id long, n_shingles long, key binary, sig binary"))
+    classes = settled(sketches.where("key is not null and doc_id is not null").groupBy("key").agg(F.min_by(F.struct("doc_id", "sig", "n_shingles"), "doc_id").alias("one")).select("key", F.col("one.doc_id").alias("rep"), F.col("one.sig").alias("sig"), F.col("one.n_shingles").alias("n")))
     prefix = F.array(*[F.expr(f"substring(sig, {4 * DEPTH * t + 1}, {4 * DEPTH})") for t in range(TREES)])
     orders = classes.select("rep", F.posexplode(prefix).alias("tree", "prefix"))
     width = shuffle_width(spark)
@@ -328,35 +342,40 @@ def near_duplicates(docs: DataFrame, percent: int = 85, text: str = "text", doc_
 
     found = components(confirmed(pairs))
     if not dense.isEmpty():
-        found = _joined_in_dense_regions(dense, classes, found, confirmed, width, percent)
+        found = _joined_in_dense_regions(dense, classes, sets, found, width, percent)
     named = classes.select("key", "rep").join(found, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("class_component"))
     out = sketches.select("doc_id", "n_shingles", "key").join(named.hint("merge"), "key", "left")
     component = F.coalesce("class_component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
-def _joined_in_dense_regions(dense: DataFrame, classes: DataFrame, found: DataFrame, confirmed, width: int, percent: int) -> DataFrame:
+def _joined_in_dense_regions(dense: DataFrame, classes: DataFrame, sets: DataFrame, found: DataFrame, width: int, percent: int) -> DataFrame:
     """node, component after the links that neighbours alone may have missed between rows of dense regions.
 
-    A row of a large region meets only some of it as a neighbour. Those that are still apart are compared by their
-    signatures with REACH rows on either side, all of a region of up to that size. Two components need one link only:
-    their FIRST most alike pairs are confirmed first, and all others where the two are still apart.
+    A row of a large region meets only some of it as a neighbour. Of regions that still hold several components, all
+    rows are compared, on their full sets, with all that are in another component: sorted by size, they are cut into blocks, the
+    largest component's apart, and a task gets two blocks. Blocks of one component only, or whose sizes rule links out, don't meet.
     """
-    comps = classes.join(found, F.col("rep") == F.col("node"), "left").select("rep", "short", "n", F.coalesce("component", "rep").alias("comp"))
-    rows = dense.join(comps, "rep").select(*_ROW)
-    scanned = settled(rows.repartitionByRange(width, "tree", "prefix", "rep").sortWithinPartitions("tree", "prefix", "rep").mapInArrow(_scan_dense(percent), _UNJOINED))
-    across = scanned.where("edge >= 0").select("edge", *_ROW).groupBy("edge").applyInArrow(_unjoined_across(percent), "a long, b long, ca long, cb long, alike double")
-    apart = scanned.where("edge = -1").select("a", "b", "ca", "cb", "alike").union(across).groupBy("a", "b").agg(F.first("ca").alias("ca"), F.first("cb").alias("cb"), F.first("alike").alias("alike"))
-    place = F.row_number().over(Window.partitionBy("ca", "cb").orderBy(F.desc("alike"), "a", "b"))
-    apart = settled(apart.withColumn("place", place))
-    first = confirmed(apart.where(F.col("place") <= FIRST)).join(apart.select("a", "b", "ca", "cb"), ["a", "b"]).select("ca", "cb")
-    merged = components(first, "ca", "cb")
-    name = lambda c: merged.select(F.col("node").alias(c), F.col("component").alias(f"new_{c}"))
-    rest = apart.where(F.col("place") > FIRST).join(name("ca"), "ca", "left").join(name("cb"), "cb", "left")
-    rest = settled(rest.select("a", "b", F.coalesce("new_ca", "ca").alias("ca"), F.coalesce("new_cb", "cb").alias("cb")).where("ca != cb"))
-    links = merged.select(F.col("node").alias("x"), F.col("component").alias("y"))
-    if not rest.isEmpty():
-        links = links.union(confirmed(rest.select("a", "b")).join(rest, ["a", "b"]).select("ca", "cb"))
-    final = components(links, "x", "y").select(F.col("node").alias("comp"), F.col("component").alias("final"))
-    out = comps.join(final, "comp", "left").select(F.col("rep").alias("node"), F.coalesce("final", "comp").alias("component"))
-    return out
+    comps = classes.join(found, F.col("rep") == F.col("node"), "left").select("rep", "n", F.coalesce("component", "rep").alias("comp"))
+    comps = comps.groupBy("rep", "comp").agg(F.max("n").alias("n"))
+    rows = settled(dense.join(comps, "rep").select("tree", F.expr(f"substring(prefix, 1, {4 * LEAST})").alias("region"), "rep", "comp", "n"))
+    parts = rows.groupBy("tree", "region", "comp").agg(F.count("*").alias("size"))
+    mixed_regions = parts.groupBy("tree", "region").agg(F.max_by("comp", F.struct("size", "comp")).alias("largest"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
+    rows = settled(rows.join(mixed_regions, ["tree", "region"]).select("tree", "region", (F.col("comp") == F.col("largest")).alias("main"), "n", "rep", "comp"))
+    order = ["tree", "region", "main", "n", "rep"]
+    cut = settled(rows.repartitionByRange(width, *order).sortWithinPartitions(*order).mapInArrow(_cut, "block long, tree int, region binary, rep long, comp long"))
+    full = cut.join(sets.where("octet_length(shingles) > 0").toDF("rep", "shingles").hint("merge"), "rep")
+    size = F.octet_length("shingles") / KEPT
+    blocks = settled(full.groupBy("block", "tree", "region").agg(
+        F.collect_list(F.struct("comp", "shingles")).alias("rows"), F.min(size).cast("long").alias("lo"), F.max(size).cast("long").alias("hi"), F.min("comp").alias("least"), F.max("comp").alias("most"),
+    ))
+    about = blocks.drop("rows")
+    a, b = (about.select("tree", "region", *[F.col(c).alias(f"{c}_{k}") for c in ("block", "lo", "hi", "least", "most")]) for k in "ab")
+    apart = "least_a != least_b or most_a != most_b or least_a != most_a"
+    fit = f"100 * hi_a >= {percent} * lo_b and 100 * hi_b >= {percent} * lo_a"
+    pairs = settled(a.join(b, ["tree", "region"]).where(f"block_a <= block_b and ({apart}) and {fit}").select(F.col("block_a").alias("a"), F.col("block_b").alias("b")))
+    side = lambda c: blocks.select(F.col("block").alias(c), F.col("rows").alias(f"rows_{c}")).hint("merge")
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "rows_a", "rows_b")
+    links = components(both.mapInArrow(_scan_blocks(percent), "ca long, cb long"), "ca", "cb")
+    final = links.select(F.col("node").alias("comp"), F.col("component").alias("final"))
+    return comps.join(final, "comp", "left").select(F.col("rep").alias("node"), F.coalesce("final", "comp").alias("component"))
