@@ -15,10 +15,11 @@ from tokenizers import Tokenizer
 
 from tidemark.llm import mixing, queries, tokenfiles
 from tidemark.llm.language import languages
-from tidemark.llm.neardup import near_duplicates
+from tidemark.llm.neardup import _block_links, _signatures, near_duplicates
 from tidemark.llm.piecebpe import PrefixTable, encode_pieces
 from tidemark.llm.quality import fit, quality_scores
 from tidemark.llm.store import fresh_folder
+from tidemark.llm.textcore import Words, shingles
 from tidemark.llm.toxicity import ftrl, toxicity_scores
 
 SMALL = "/root/testdata/sf0.001"
@@ -158,6 +159,33 @@ def test_near_duplicates_far_apart_in_a_large_family(spark):
     assert components_of(spark, rows) == wanted
 
 
+def test_near_duplicates_just_above_the_limit_in_a_large_family(spark):
+    """The link's signatures agree in less than 0.77 of their minhashes."""
+    random.seed(12)
+
+    def linked(a, b):
+        x, y = (_signatures(*shingles(Words([t])))[0] for t in (a, b))
+        return (x == y).mean() < 0.77
+
+    rows, wanted = family(700, linked)
+    assert components_of(spark, rows) == wanted
+
+
+def test_block_links():
+    """Against brute force, for sets about the limit and of several sizes, within a block and between two."""
+    rng = np.random.default_rng(4)
+    for turn in range(30):
+        base = rng.choice(1000, 120, replace=False)
+        sets = [np.unique(np.concatenate([rng.choice(base, rng.integers(60, 121), replace=False) if turn % 2 else rng.permutation(base)[rng.integers(0, 15) :], rng.choice(5000, rng.integers(0, 12)) + 1000])) for _ in range(60)]
+        first, comps = (0, 25)[turn % 3 > 0], np.where(rng.random(60) < 0.2, 0, np.arange(60))
+        found = _block_links(np.concatenate(sets).astype(np.uint64), np.array([len(s) for s in sets]), comps, first, 85)
+        kept = {k: set(s.tolist()) for k, s in enumerate(sets)}
+        links = [(a, b) for a, b in near_links(kept) if not first or (a < first) != (b < first)]
+        assert all((a, b) in {(comps[x], comps[y]) for x, y in links} for a, b in found)
+        nodes = dict.fromkeys(comps.tolist())
+        assert brute_components(nodes, [(int(comps[a]), int(comps[b])) for a, b in links]) == brute_components(nodes, found)
+
+
 def test_packed_ids_round_trip():
     random.seed(2)
     values = np.array([random.choice([0, 1, 255, 256, 65535, 65536, 1 << 24, (1 << 32) - 1]) for _ in range(4000)], np.uint32)
