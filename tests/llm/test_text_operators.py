@@ -186,6 +186,21 @@ def test_block_links():
         assert brute_components(nodes, [(int(comps[a]), int(comps[b])) for a, b in links]) == brute_components(nodes, found)
 
 
+def test_near_duplicates_in_many_small_partitions(spark):
+    """Regions that run over many partitions of a few rows each."""
+    random.seed(13)
+    rows, wanted = family(150)
+    groups = {1000 * g + i: f"{' '.join(f'g{g}w{k}' for k in range(90))} {' '.join(f'g{g}i{i}w{k}' for k in range(1, 8 if i in (3, 11) else 16))}" for g in range(1, 4) for i in range(14)}
+    rows |= groups
+    wanted |= {i: i - 8 if i % 1000 == 11 else i for i in groups}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 200)
+        assert components_of(spark, rows) == wanted
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_packed_ids_round_trip():
     random.seed(2)
     values = np.array([random.choice([0, 1, 255, 256, 65535, 65536, 1 << 24, (1 << 32) - 1]) for _ in range(4000)], np.uint32)

@@ -130,14 +130,6 @@ def _arrays(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.asarray(rows.column("tree")), prefixes, np.asarray(rows.column("rep"))
 
 
-def _dense(tree: np.ndarray, prefixes: np.ndarray) -> np.ndarray:
-    """Rows whose region at LEAST minhashes has more than REGION rows."""
-    if len(tree) < 2:
-        return np.zeros(len(tree), bool)
-    region = _regions(tree, prefixes)
-    return np.bincount(region)[region] > REGION
-
-
 def _regions(tree: np.ndarray, prefixes: np.ndarray) -> np.ndarray:
     """Numbers of the runs of sorted rows that share LEAST minhashes."""
     cut = (tree[:-1] != tree[1:]) | (prefixes[:-1, :LEAST] != prefixes[1:, :LEAST]).any(axis=1)
@@ -241,35 +233,26 @@ def _pair_batch(a, b):
 
 
 def _scan_order(batches):
-    """Pairs within a sorted partition; its first and last rows go out too, for the pairs across partitions (edge = the partition that ends there)."""
-    from pyspark import TaskContext
-
-    me = TaskContext.get().partitionId()
-    held, first = None, None
-
-    def edge_rows(rows: pa.Table, k: int):
-        n = rows.num_rows
-        return pa.RecordBatch.from_arrays([pa.array([k] * n, pa.int32()), rows.column("tree").combine_chunks(), rows.column("prefix").combine_chunks(), rows.column("rep").combine_chunks(), pa.nulls(n, pa.int64())], ["edge", "tree", "prefix", "a", "b"])
-
-    for batch in batches:
-        rows = pa.Table.from_batches([batch])
-        if not rows.num_rows:
-            continue
-        first = rows.slice(0, 2 * REGION) if first is None else first if first.num_rows >= 2 * REGION else pa.concat_tables([first, rows]).slice(0, 2 * REGION)
-        rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
-        tree, prefixes, ids = _arrays(rows)
-        yield _pair_batch(*_neighbours(tree, prefixes, ids))
-        yield edge_rows(rows.filter(pa.array(_dense(tree, prefixes))), -2)
-        held = rows.slice(max(0, rows.num_rows - 2 * REGION))
-    if first is not None:
-        yield edge_rows(first, me - 1)
-        yield edge_rows(held, me)
+    """Pairs within a sorted partition, rows of its dense regions (edge -2), and all rows of the regions at its two ends (edge 0), which may go on in any partition."""
+    batches = [b for b in batches if b.num_rows]
+    if not batches:
+        return
+    rows = pa.Table.from_batches(batches).combine_chunks()
+    tree, prefixes, ids = _arrays(rows)
+    yield _pair_batch(*_neighbours(tree, prefixes, ids))
+    region = _regions(tree, prefixes)
+    ends = (region == 0) | (region == region[-1])
+    for k, which in ((0, ends), (-2, ~ends & (np.bincount(region)[region] > REGION))):
+        some = rows.filter(pa.array(which)).combine_chunks()
+        n = some.num_rows
+        yield from pa.table({"edge": pa.array([k] * n, pa.int32()), "tree": some.column("tree"), "prefix": some.column("prefix"), "a": some.column("rep"), "b": pa.nulls(n, pa.int64())}).to_batches()
 
 
 def _across(rows: pa.Table) -> pa.Table:
-    order = rows.sort_by([("tree", "ascending"), ("prefix", "ascending"), ("rep", "ascending")])
-    a, b = _neighbours(*_arrays(order))
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    """All pairs of a region of REGION rows at most."""
+    ids = np.asarray(rows.column("rep"))
+    i, j = np.triu_indices(len(ids), 1)
+    return pa.table({"a": pa.array(np.minimum(ids[i], ids[j]), pa.int64()), "b": pa.array(np.maximum(ids[i], ids[j]), pa.int64())})
 
 
 def _alike(batches):
@@ -305,8 +288,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, text: str = "text", doc_
     Documents are linked where 100 * (common shingles) >= percent * (all shingles of both); shingles are runs
     of five words. Documents with equal sets collapse to one class by an aggregate, so thousands of exact
     copies cost one signature. The classes' signatures (16 orders of 8 minhashes) are sorted, each order
-    range-partitioned with the id as the last key, so one hot prefix spreads over partitions; rows near a
-    boundary are compared again across it. Neighbours by longest common prefix are candidates: all pairs of a
+    range-partitioned with the id as the last key, so one hot prefix spreads over partitions; regions at a
+    partition's ends are counted over all partitions and compared whole. Neighbours by longest common prefix are candidates: all pairs of a
     region of 16 rows or fewer, whose depth so adapts to how dense it is, and the 3 next rows in larger
     ones. Candidates that the whole signature doesn't rule out are confirmed on the full sets. Rows of larger regions
     that are still in different components after that are compared further: see _joined_in_dense_regions.
@@ -325,14 +308,18 @@ def near_duplicates(docs: DataFrame, percent: int = 85, text: str = "text", doc_
         orders.repartitionByRange(width, "tree", "prefix", "rep").sortWithinPartitions("tree", "prefix", "rep")
         .select("tree", "prefix", "rep").mapInArrow(_scan_order, _PAIRS)
     )
-    across = scanned.where("edge >= 0").select("edge", "tree", "prefix", F.col("a").alias("rep")).groupBy("edge").applyInArrow(_across, "a long, b long")
+    region = F.expr(f"substring(prefix, 1, {4 * LEAST})").alias("region")
+    ends = scanned.where("edge = 0").select("tree", region, "prefix", F.col("a").alias("rep"))
+    # two regions for each partition at most
+    ends = ends.join(F.broadcast(ends.groupBy("tree", "region").agg(F.count("*").alias("size"))), ["tree", "region"])
+    across = ends.where(F.col("size") <= REGION).groupBy("tree", "region").applyInArrow(_across, "a long, b long")
     pairs = scanned.where("edge = -1").select("a", "b").union(across).where("a != b").distinct()
     sig = classes.select("rep", "sig")
     # the merge hints keep one way of joining at every size
     pairs = pairs.join(sig.toDF("a", "sig_a").hint("merge"), "a").join(sig.toDF("b", "sig_b").hint("merge"), "b").select("a", "b", "sig_a", "sig_b")
     pairs = settled(pairs.mapInArrow(_alike, "a long, b long"))
-    dense = scanned.where("edge = -2").select("tree", "prefix", F.col("a").alias("rep")).distinct()
-    dense = settled(dense)
+    dense = scanned.where("edge = -2").select("tree", region, F.col("a").alias("rep"))
+    dense = settled(dense.union(ends.where(F.col("size") > REGION).select("tree", "region", "rep")).distinct())
     members = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).union(dense.select("rep")).distinct()
     sets = settled(wide.join(members.hint("merge"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets, "doc_id long, shingles binary"))
 
@@ -358,7 +345,7 @@ def _joined_in_dense_regions(dense: DataFrame, classes: DataFrame, sets: DataFra
     """
     comps = classes.join(found, F.col("rep") == F.col("node"), "left").select("rep", "n", F.coalesce("component", "rep").alias("comp"))
     comps = comps.groupBy("rep", "comp").agg(F.max("n").alias("n"))
-    rows = settled(dense.join(comps, "rep").select("tree", F.expr(f"substring(prefix, 1, {4 * LEAST})").alias("region"), "rep", "comp", "n"))
+    rows = settled(dense.join(comps, "rep").select("tree", "region", "rep", "comp", "n"))
     parts = rows.groupBy("tree", "region", "comp").agg(F.count("*").alias("size"))
     mixed_regions = parts.groupBy("tree", "region").agg(F.max_by("comp", F.struct("size", "comp")).alias("largest"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
     rows = settled(rows.join(mixed_regions, ["tree", "region"]).select("tree", "region", (F.col("comp") == F.col("largest")).alias("main"), "n", "rep", "comp"))
