@@ -230,6 +230,17 @@ def test_token_files(spark, awkward, empty):
     assert tokenfiles.read_token_files(tokenfiles.write_token_files(empty, BYTES, 2, folder), folder).count() == 0
 
 
+def test_token_files_query_is_the_plain_library(spark, tmp_path):
+    """Added tokens that a text holds literally, in the query's own output."""
+    rows = [(1, "a <|endoftext|> b", "en", "a"), (2, "plain text, twice", "en", "a"), (3, "<|endoftext|><|endoftext|>", "en", "a"), (4, None, "en", "a"), (5, "a <|endoftext b", "en", "a")]
+    table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    t, start = Tokenizer.from_file(BYTES), 0
+    for r, (i, text, _, _) in zip(queries.op5_token_files(spark, str(tmp_path)).orderBy("start").collect(), rows, strict=True):
+        ids = [*t.encode(text or "", add_special_tokens=False).ids, 2]
+        assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+
+
 def test_separator_scan(spark, awkward, empty):
     folder = fresh_folder(spark, "test-flat")
     written = {(r.shard, r.ordinal): r.doc_id for r in tokenfiles.write_flat_files(awkward, BYTES, 50256, folder).collect()}

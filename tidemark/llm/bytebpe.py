@@ -53,19 +53,25 @@ class Remembered(dict):
 
 
 class WordEncoder:
-    """Ids of texts as little-endian unsigned integers of 16 bits (32 where the vocabulary needs it)."""
+    """Ids of texts as little-endian unsigned integers of 16 bits (32 where the vocabulary needs it).
 
-    def __init__(self, spec: str):
+    added: added tokens that a text holds literally get their own ids, as in the library's plain encode(); else they are plain text.
+    """
+
+    def __init__(self, spec: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
         self.tokenize = self.tokenizer.model.tokenize
         self.dtype = id_type(self.tokenizer.get_vocab_size())
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.words = Remembered(self.learn)
         said = json.loads(spec)
+        literals = [t["content"] for t in said.get("added_tokens") or [] if t["content"]] if added else []
+        #: What sends a text to the library whole.
+        self.added = re.compile("|".join(map(re.escape, literals))) if literals else None
         before = said.get("pre_tokenizer") or {}
         #: Byte-level BPE on the usual words: cuts at white space change nothing there, and a word of letters is one unit of the model.
         self.by_word = not said.get("normalizer") and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
@@ -86,18 +92,20 @@ class WordEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         get = self.words.__getitem__
-        return [b"".join(map(get, cut(t) if self.by_word else [t])) if t else b"" for t in texts]
+        whole = lambda t: self.ids(self.tokenizer.encode(t, add_special_tokens=False).ids)
+        return [whole(t) if t and self.added and self.added.search(t) else b"".join(map(get, cut(t) if self.by_word else [t])) if t else b"" for t in texts]
 
 
 def id_type(size: int) -> np.dtype:
     return np.dtype("<u2" if size <= 1 << 16 else "<u4")
 
 
-_encoders: dict[int, WordEncoder] = {}
+_encoders: dict[tuple[int, bool], WordEncoder] = {}
 
 
-def encoder(spec: str) -> WordEncoder:
-    return _encoders.get(hash(spec)) or _encoders.setdefault(hash(spec), WordEncoder(spec))
+def encoder(spec: str, added: bool = False) -> WordEncoder:
+    key = (hash(spec), added)
+    return _encoders.get(key) or _encoders.setdefault(key, WordEncoder(spec, added))
 
 
 def read_spec(path: str) -> str:
@@ -105,12 +113,12 @@ def read_spec(path: str) -> str:
         return f.read()
 
 
-def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, ids (bytes of little-endian unsigned 16-bit integers, or 32-bit for large vocabularies), end_id last. Null texts count as empty."""
+def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int, text: str = "text", doc_id: str = "doc_id", added: bool = False) -> DataFrame:
+    """doc_id, ids (bytes of little-endian unsigned 16-bit integers, or 32-bit for large vocabularies), end_id last. Null texts count as empty. added: see WordEncoder."""
     spec = docs.sparkSession.sparkContext.broadcast(read_spec(tokenizer_path))
 
     def run(batches):
-        e = encoder(spec.value)
+        e = encoder(spec.value, added)
         end = np.array([end_id], e.dtype).tobytes()
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):

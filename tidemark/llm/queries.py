@@ -40,7 +40,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_folder(spark, "token-files")
-    manifest = tokenfiles.write_token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2, folder)
+    manifest = tokenfiles.write_token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2, folder, added=True)
     return tokenfiles.with_crc(tokenfiles.read_token_files(manifest, folder))
 
 

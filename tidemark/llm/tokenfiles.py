@@ -128,7 +128,7 @@ def frequency_ranks(tokens: DataFrame, vocabulary: int, dtype: str) -> np.ndarra
     return np.argsort(-total, kind="stable").astype("<u4")
 
 
-def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str, vocabulary: int = 1 << 16) -> DataFrame:
+def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str, vocabulary: int = 1 << 16, added: bool = False) -> DataFrame:
     """Writes all documents' ids in ascending doc_id order (null ids first) as coded shards and returns the manifest of their blocks.
 
     Ids become ranks by frequency, so that the 256 most frequent take one byte. Tokenised documents are kept
@@ -137,7 +137,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder:
     spark = docs.sparkSession
     dtype = id_type(vocabulary).str
     kept = fresh_folder(spark, "token-ids")
-    token_ids(docs, tokenizer_path, end_id).write.option("compression", "zstd").parquet(kept)
+    token_ids(docs, tokenizer_path, end_id, added=added).write.option("compression", "zstd").parquet(kept)
     tokens = spark.read.schema("doc_id long, ids binary").parquet(kept)
     by_rank = frequency_ranks(tokens, vocabulary, dtype)
     ranks = shards.ShardWriter(folder, RANKS)
