@@ -12,16 +12,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Encoded words that a Python worker remembers.
-WORDS = 1_000_000
-#: A word with the white space before it. The library's pre-tokeniser never joins what stands on both sides of such a cut.
-CUT = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
-#: Rarer white space and control characters, which rules for runs of white space may carry over a cut: such texts go whole.
-RARE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -‏    　﻿]")
-
-
-#: What sends a text to the pattern above instead of plain splits before each blank and line end.
-RUNS = ("  ", " \n", "\n ", "\n\n", "\t", "\r", "\0")
+#: Bytes that a Python worker's remembered words may take, about what an entry takes beside its characters, and the longest word to remember.
+ROOM, ENTRY, LONGEST = 96 << 20, 240, 64
+#: White space as the library's pre-tokeniser knows it: the usual kinds, and what there is beyond ASCII.
+_BEYOND = "\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_BLANK = "\t-\r " + _BEYOND
+#: A word with the white space before it. The pre-tokeniser never joins what stands on both sides of the end of a word.
+CUT = re.compile(f"[{_BLANK}]*[^{_BLANK}]+|[{_BLANK}]+")
+RARE = re.compile(f"[{_BEYOND}]")
+#: What, beside RARE, sends a text to the pattern above instead of plain splits before each blank and line end.
+RUNS = ("  ", " \n", "\n ", "\n\n", "\t", "\r", "\x0b", "\x0c", "\0")
 
 
 #: Byte-level BPE writes every byte as a letter: printable ones as themselves, the others as letters from U+0100 on.
@@ -31,24 +31,26 @@ SPACE_LETTER = chr(BYTE_LETTERS[32])
 
 
 def cut(text: str) -> list[str]:
-    if RARE.search(text):
-        return [text]
-    if any(r in text for r in RUNS):
+    if any(r in text for r in RUNS) or not text.isascii() and RARE.search(text):
         return CUT.findall(text)
     return list(filter(None, text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")))
 
 
 class Remembered(dict):
-    """Words and their encodings; a word that is missing is learned, and all are forgotten when there are too many."""
+    """Words and their encodings: a word that is missing is learned; long ones are not kept, and all are forgotten when they take too much room."""
 
     def __init__(self, learn):
         super().__init__()
-        self.learn = learn
+        self.learn, self.room = learn, ROOM
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= WORDS:
-            self.clear()
-        found = self[word] = self.learn(word)
+        found = self.learn(word)
+        if len(word) <= LONGEST:
+            self.room -= ENTRY + 4 * len(word) + len(found)
+            if self.room < 0:
+                self.clear()
+                self.room = ROOM - ENTRY - 4 * len(word) - len(found)
+            self[word] = found
         return found
 
 

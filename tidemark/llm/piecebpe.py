@@ -18,9 +18,11 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.bytebpe import Remembered
+
 SPACE = "▁"
-#: Encoded words that a Python worker remembers, pairs whose compatibility it remembers, characters it cuts at once.
-WORDS, PAIRS, STRETCH = 500_000, 2_000_000, 1 << 20
+#: Pairs of tokens whose compatibility a Python worker remembers, and characters it cuts at once.
+PAIRS, STRETCH = 1_000_000, 1 << 20
 
 
 class PrefixTable:
@@ -44,7 +46,7 @@ class PrefixTable:
         automaton.make_automaton()
         self.matches = automaton.iter
         self.fits: dict[int, bool] = {}
-        self.words: dict[str, bytes] = {}
+        self.words = Remembered(self.word)
         self.cut = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
         self.begin, self.end = (np.array([i], "<u4").tobytes() for i in (sp.bos_id(), sp.eos_id()))
 
@@ -122,12 +124,6 @@ class PrefixTable:
             else:
                 cuts = list(filter(None, part.replace(SPACE, " " + SPACE).replace("\n", " \n ").split(" ")))
             at = stop
-            missing = set(cuts).difference(words)
-            if len(words) + len(missing) > WORDS:
-                words.clear()
-                missing = set(cuts)
-            for w in missing:
-                words[w] = self.word(w)
             out.extend(map(words.__getitem__, cuts))
         out.append(self.end)
         return b"".join(out)
