@@ -133,6 +133,10 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder:
 
     Ids become ranks by frequency, so that the 256 most frequent take one byte. Tokenised documents are kept
     once as a Parquet table; what is shuffled into ranges of doc_id is the coded form, about a third of the texts.
+
+    Null and empty texts have the end id only. Rows with one doc_id, or without, are documents each, in the order of their
+    number of ids and a hash of the coded bytes, then the bytes: a shard that is written again is the same, byte for byte, and many
+    rows of one id spread over shards. A text of any length is a block of its own. An empty table writes the ranks only. Other columns are ignored.
     """
     spark = docs.sparkSession
     dtype = id_type(vocabulary).str
@@ -146,8 +150,9 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder:
     to_rank = np.empty(vocabulary, np.uint32)
     to_rank[by_rank] = np.arange(vocabulary, dtype=np.uint32)
     coded = tokens.mapInArrow(_coder(spark.sparkContext.broadcast(to_rank), dtype), "doc_id long, n long, control binary, data binary")
-    ordered = coded.repartitionByRange(shuffle_width(spark), "doc_id").sortWithinPartitions("doc_id")
-    return settled(ordered.mapInArrow(_writer(folder), _MANIFEST))
+    tie = F.xxhash64("control", "data").alias("tie")
+    ordered = coded.select("*", tie).repartitionByRange(shuffle_width(spark), "doc_id", "n", "tie").sortWithinPartitions("doc_id", "n", "tie", "control", "data")
+    return settled(ordered.drop("tie").mapInArrow(_writer(folder), _MANIFEST))
 
 
 def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
@@ -196,6 +201,9 @@ def write_flat_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder:
     """Writes ids with end_id after each document as flat little-endian files without any index, one for each input partition, in input order.
 
     Returns shard, ordinal, doc_id of the documents written. A map without a shuffle.
+
+    Added tokens that a text holds literally are plain text here, so that end_id stands after documents only. Null and empty
+    texts have the end id only. Repeated rows and ids are documents each, in input order; texts of any length are written as they come. An empty table writes nothing. Other columns are ignored.
     """
 
     def write(batches):
