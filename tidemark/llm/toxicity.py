@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import shards
 from tidemark.llm.sampling import carried, labelled, remainder, schema
+from tidemark.llm.store import fresh_folder
 from tidemark.llm.textcore import NO_LETTER, Words, mixed, pieces
 
 #: Hash buckets; documents of each class to learn from at most; passes over them.
@@ -52,8 +55,36 @@ def _rows(batches):
             yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), y.slice(lo, hi - lo), pa.array(own, pa.binary())], ["doc_id", "y", "buckets"])
 
 
-def ftrl(examples: list[tuple[np.ndarray, int]], buckets: int = BUCKETS) -> tuple[np.ndarray, float]:
-    """Weights (mostly exact zeros) and the intercept, updated document by document."""
+class Stored:
+    """The sample's rows in the order of their files, a few at a time, as often as they are asked for."""
+
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    def __iter__(self) -> Iterator[tuple[np.ndarray, int]]:
+        system, base = shards.opened(self.folder)
+        for name, _ in shards.sizes(self.folder, ".parquet"):
+            with system.open_input_file(f"{base}/{name}") as file:
+                for batch in pq.ParquetFile(file).iter_batches(32, columns=["y", "buckets"]):
+                    for y, own in zip(batch.column("y").to_pylist(), batch.column("buckets"), strict=True):
+                        yield np.frombuffer(own.as_buffer(), np.int32), y
+
+
+def _learner(folder: str):
+    """Learns in one task from the stored sample; gives the weights that aren't zero and, as bucket -1, the intercept."""
+
+    def learn(batches):
+        for batch in batches:
+            if batch.num_rows:
+                w, bias = ftrl(Stored(folder))
+                at = np.flatnonzero(w)
+                yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(w[at], bias))], ["bucket", "weight"])
+
+    return learn
+
+
+def ftrl(examples: Iterable[tuple[np.ndarray, int]], buckets: int = BUCKETS) -> tuple[np.ndarray, float]:
+    """Weights (mostly exact zeros) and the intercept, updated document by document; examples are gone through PASSES times."""
     z, n = np.zeros(buckets + 1), np.zeros(buckets + 1)
     for _ in range(PASSES):
         for own, y in examples:
@@ -93,28 +124,29 @@ def _scorer(model, kept: list[str]):
 def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """One row per row of docs: doc_id, held_out, score (0 to 1), predicted (score >= 0.3) and the columns named in keep, as kept_<name>.
 
-    Learned from at most about 5000 documents of each class, drawn by hash among learning rows: their distinct
-    hashed features go to the driver, which runs FTRL over them in an order set by doc_id. As the classes are drawn
-    apart, the intercept is shifted by the log-odds of their full sizes. L1 leaves some thousand weights, which are
+    Learned from at most about 5000 documents of each class, drawn by hash among learning rows. Their distinct
+    hashed features are written to the shared folder in an order set by a hash of doc_id, and one task runs FTRL over
+    them, a few documents in memory at a time; the driver gets some thousand weights. As the classes are drawn
+    apart, the intercept is shifted by the log-odds of their full sizes. The weights are
     broadcast; all whole texts are then scored in a map without a shuffle.
 
     Null and empty texts have no feature and get the intercept's score. Without labels of both classes every score is the known share of toxic rows (0 without any).
+    Repeated rows get a row each; in learning, rows with one doc_id are ordered by their features. Texts of any length count whole. Other columns of docs are ignored but for those in keep.
     """
+    spark = docs.sparkSession
     sample, counts = labelled(docs, labels, label, MOST, 3, text)
-    rows = sorted(sample.mapInArrow(_rows, "doc_id long, y int, buckets binary").collect(), key=lambda r: (hash_order(r["doc_id"]), r["doc_id"]))
-    drawn = {y: sum(r["y"] == y for r in rows) for y in (0, 1)}
+    folder = fresh_folder(spark, "toxicity-sample")
+    rows = sample.mapInArrow(_rows, "doc_id long, y int, buckets binary")
+    rows.orderBy(F.xxhash64("doc_id", F.lit(9)), "doc_id", "buckets").write.parquet(folder)
+    drawn = {0: 0, 1: 0} | {r["y"]: r["n"] for r in spark.read.schema("y int").parquet(folder).groupBy("y").agg(F.count("*").alias("n")).collect()}
     if all(drawn.values()):
-        w, bias = ftrl([(np.frombuffer(r["buckets"], np.int32), r["y"]) for r in rows])
-        bias += math.log(counts[1] / counts[0]) - math.log(drawn[1] / drawn[0])
+        learned = spark.range(0, 1, 1, 1).mapInArrow(_learner(folder), "bucket long, weight double").toArrow()
+        at, w = np.asarray(learned.column("bucket")), np.asarray(learned.column("weight"))
+        bias = float(w[at < 0][0]) + math.log(counts[1] / counts[0]) - math.log(drawn[1] / drawn[0])
+        at, w = at[at >= 0].astype(np.int32), w[at >= 0]
     else:
-        w, bias = np.zeros(BUCKETS), 35.0 if drawn[1] else -35.0
-    at = np.flatnonzero(w).astype(np.int32)
-    model = docs.sparkSession.sparkContext.broadcast((at, w[at].astype(np.float32), bias))
+        at, w, bias = np.zeros(0, np.int32), np.zeros(0), 35.0 if drawn[1] else -35.0
+    model = spark.sparkContext.broadcast((at, w.astype(np.float32), bias))
     held_out = remainder(F.col("doc_id"), 4) == 2
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"), held_out.alias("held_out"), *carried(docs, keep))
     return rows.mapInArrow(_scorer(model, [f"kept_{c}" for c in keep]), schema("doc_id long, held_out boolean, score double, predicted int", rows, keep))
-
-
-def hash_order(doc_id: int) -> int:
-    """An order of learning that has nothing to do with the order of ids."""
-    return (doc_id * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF
