@@ -14,6 +14,8 @@ from tidemark.llm.textcore import pieces
 
 #: Documents to learn from at most, landmarks among them, strength of the ridge, steepness of the score.
 MOST, LANDMARKS, RIDGE, STEEP = 6000, 256, 1e-2, 4.0
+#: Cells of the matrix of texts and landmark grams that is multiplied at once.
+CELLS = 1 << 22
 #: Letters are numbers below 64: a-z by themselves, all others spread over the rest; 0 is what is no letter.
 _BITS = 6
 _FIRST = np.array([0, 1 << _BITS, (1 << _BITS) + (1 << 2 * _BITS)])
@@ -96,9 +98,10 @@ def _scorer(model, classes: list[str], kept: list[str]):
         seen, position = np.zeros(GRAMS, bool), np.full(GRAMS, -1, np.int32)
         position[known] = np.arange(len(known))
         names = np.array([*classes, "und"], dtype=object)
+        rows = max(1, CELLS // max(len(known), 1))
         for batch in batches:
             ids, texts, out = batch.column(0), batch.column(1), batch.column(2)
-            for lo, hi in pieces(texts, 1 << 18):
+            for lo, hi in ((a, min(a + rows, b)) for first, b in pieces(texts, 1 << 18) for a in range(first, b, rows)):
                 n = hi - lo
                 presence, some = np.zeros((n, len(known)), np.float32), np.zeros(n, bool)
                 for i, t in enumerate(texts.slice(lo, n).to_pylist()):
@@ -141,6 +144,7 @@ def languages(docs: DataFrame, text: str = "text", lang: str = "lang", keep: Seq
     scored in batches by matrix products, in a map without a shuffle.
 
     Null texts and texts without a letter are `und` with score 0, and so is everything where nothing can be learned.
+    Repeated rows get a row each. Texts of any length count whole. An empty table gives no rows. Other columns are ignored but for those in keep.
     """
     model, classes = language_model(docs, text, lang)
     shared = docs.sparkSession.sparkContext.broadcast(model)
