@@ -63,7 +63,7 @@ def _demand_time(schedules: Sequence[Schedule], place: Column, asked: Column) ->
 def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST, schedules: Sequence[Schedule] = SCHEDULES, whole: bool = False, salt: str = "mix", text: str = "text", doc_id: str = "doc_id", source: str = "source", keep: Sequence[str] = ()) -> DataFrame:
     """One row per row of docs: doc_id, source, size, source_size, target, taken, placements (array of turn, position, words) and the columns named in keep, as kept_<name>.
 
-    Within its source a document has a place in the order of md5(salt + doc_id), the same in every run. Passes over
+    Within its source a document has a place in the order of md5(salt + doc_id + md5(text)), the same in every run. Passes over
     the source in that order make a line of words; the mix takes the first `target` words of it, so a document is
     taken once for each pass that reaches it, and the last one in part (whole=True: in full if its middle
     is within the target, else not). Placement starts become training positions in [0, 1]: the time at which the
@@ -74,11 +74,13 @@ def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHA
     is thus 4096 tasks' worth of groups. Only source and bucket sums are ordered in one place.
 
     Null texts have size 0, and rows of size 0 are never taken (whole=True: once, at their place). Null sources are a source of their own, last.
-    Repeated rows are documents each. An empty table gives no rows.
+    Repeated rows are documents each; the text's part in the order spreads rows without doc_id, or with one, over all buckets.
+    Texts of any length count whole. An empty table gives no rows. Other columns are ignored but for those in keep.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), words(F.col(text)).alias("size"), *carried(docs, keep))
+    order = F.md5(F.concat(F.lit(salt), F.coalesce(F.col(doc_id).cast("long").cast("string"), F.lit("")), F.coalesce(F.md5(text), F.lit(""))))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), words(F.col(text)).alias("size"), order.alias("_order"), *carried(docs, keep))
     key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null"))
-    rows = rows.withColumns({"_key": key, "_order": F.md5(F.concat(F.lit(salt), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))})
+    rows = rows.withColumn("_key", key)
     rows = rows.withColumn("_bucket", F.conv(F.substring("_order", 1, 3), 16, 10).cast("int"))
     buckets = rows.groupBy("_key", "_bucket").agg(F.sum("size").alias("n"), F.first("source").alias("source"))
     before = F.sum("n").over(Window.partitionBy("_key").orderBy("_bucket")) - F.col("n")

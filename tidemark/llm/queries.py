@@ -100,7 +100,7 @@ select query_id, cast(rank as integer) as rank, vec_id, score from placed where
     "op9_mixing": r"""
 with docs as (
     select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as size,
-           md5('mix' || coalesce(cast(doc_id as varchar), '')) as o
+           md5('mix' || coalesce(cast(doc_id as varchar), '') || coalesce(md5(text), '')) as o
     from documents
 ), sizes as (
     select source, cast(sum(size) as bigint) as source_size from docs group by source
