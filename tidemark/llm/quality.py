@@ -88,6 +88,15 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[np.
     return low, high, w
 
 
+def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The share of positives among unlabelled rows, from these two samples alone: the least ratio, over thresholds with a twentieth of the positives above, of the unlabelled share above to the positive one, by the score of a plain positive-against-unlabelled fit."""
+    low, high, w = fit(positive, unlabelled, 0.5)
+    p, u = (np.sort(_expanded(x, low, high) @ w)[::-1] for x in (positive, unlabelled))
+    above = np.arange(max(1, len(p) // 20), len(p) + 1)
+    share = np.searchsorted(-u, -p[above - 1], "right") / len(u)
+    return float(np.min(share / (above / len(p))))
+
+
 def _rows(batches):
     for batch in batches:
         texts = batch.column("text")
@@ -117,7 +126,8 @@ def _scorer(model, kept: list[str]):
 def quality_model(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Scaling and weights, learned from at most about 12,000 trusted positives (learning rows that are labelled 1) and as many unlabelled documents.
 
-    The class prior is the share of 1 among all labelled learning rows. Unlabelled documents are drawn by hash from the whole table.
+    The class prior is estimated: the share of 1 among all labelled learning rows, or, if none of them is labelled 0, estimated_prior().
+    Unlabelled documents are drawn by hash from the whole table.
     """
     positives, counts = labelled(docs, labels.where(f"{label} = 1"), label, MOST, 4, text)
     usable = labels.where(F.col(label).isin(0, 1) & (remainder(F.col("doc_id"), 4) != 2))
@@ -127,6 +137,8 @@ def quality_model(docs: DataFrame, labels: DataFrame, label: str = "quality", te
     p, u = _sample(positives), _sample(unlabelled)
     if not len(p) or not len(u):
         return np.zeros(FEATURES), np.ones(FEATURES), np.append(np.zeros(3 * FEATURES), 35.0 if len(p) else 0.0)
+    if prior == 1:
+        prior = estimated_prior(p, u)
     return fit(p, u, min(max(prior, 0.01), 0.99))
 
 
@@ -135,7 +147,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", t
 
     A bounded sample's feature rows go to the driver (quality_model); some hundred weights come back, and all whole
     texts are scored in a map without a shuffle. Null and empty texts have features of zero and the score that
-    these get. Without positive labels every score is 0.5. Repeated rows get a row each.
+    these get. Without positive labels every score is 0.5. Repeated rows get a row each. Texts of any length count whole. An empty table gives no rows.
+    Other columns of docs are ignored but for those in keep.
     """
     model = docs.sparkSession.sparkContext.broadcast(quality_model(docs, labels, label, text))
     held_out = remainder(F.col("doc_id"), 4) == 2
