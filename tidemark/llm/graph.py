@@ -38,6 +38,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
             .select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"))
             .distinct()
         )
+    else:
+        if not live.isEmpty():
+            raise RuntimeError(f"edges are left after {most_rounds} rounds of contraction")
     if not steps:
         return live.select(F.col("a").alias("node"), F.col("b").alias("component"))
     found = steps[0].toDF("node", "root")

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components
-from tidemark.llm.store import settled, shuffle_width
+from tidemark.llm.shards import ShardWriter, read_range
+from tidemark.llm.store import fresh_folder, settled, shuffle_width
 from tidemark.llm.textcore import Words, mixed, pieces, shingles
 
 #: Orders of the forest, minhashes in each, and the prefix that two documents must share at least in one order.
@@ -22,10 +23,12 @@ REGION = 16
 NEAR = 3
 #: Rows of a dense region that go to a task together, and their shingles.
 BLOCK, BLOCK_SHINGLES = 1024, 200_000
+#: A shingle that this many rows of a block have is counted by matrix products, this many columns at a time; rarer ones pair by pair, this many at a time.
+COMMON, COLUMNS, AT_ONCE = 64, 2048, 1 << 21
 #: Share of equal minhashes below which a similarity of 0.85 is ruled out (five standard deviations of 128).
 LIKELY = 0.69
-#: Bytes that are kept of a shingle's hash where two documents' sets are compared.
-KEPT = 5
+#: Rows of a dense region that meet its largest component by a join go to this many parts of it.
+SALTS = 32
 
 
 def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,7 +68,7 @@ def _sets(batches):
         ids, texts = batch.column(0), batch.column(1)
         for lo, hi in pieces(texts):
             h, at = shingles(Words(texts.slice(lo, hi - lo).to_pylist()))
-            packed = [np.unique(h[at[i] : at[i + 1]]).view(np.uint8).reshape(-1, 8)[:, 8 - KEPT :].tobytes() for i in range(hi - lo)]
+            packed = [np.unique(h[at[i] : at[i + 1]]).tobytes() for i in range(hi - lo)]
             yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(packed, pa.binary())], ["doc_id", "shingles"])
 
 
@@ -136,73 +139,121 @@ def _regions(tree: np.ndarray, prefixes: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(cut)])
 
 
-def _block_links(tokens: np.ndarray, sizes: np.ndarray, comps: np.ndarray, first: int, percent: int) -> list[tuple[int, int]]:
-    """Links of different components between a block's rows, or between its first rows and the others where `first` is not 0. Exact.
-
-    Rows are sets of tokens, one after another. Of two sets that are alike enough, the rarest tokens of the smaller one up to
-    the overlap that it needs and of the larger one up to the size that its partner has meet in one token at least,
-    in whatever order tokens are ranked. What meets is counted in full, unless the rows have got into one component.
-    """
-    n, comps = len(sizes), comps.copy()
-    named = comps.copy()
-    row, start = np.repeat(np.arange(n), sizes), np.concatenate([[0], np.cumsum(sizes)])
+def _common_counts(tokens: np.ndarray, sizes: np.ndarray, first: int) -> np.ndarray:
+    """Exact numbers of common tokens of a block's rows, or of its first rows with the others where `first` is not 0. Rows are sets of tokens, one after another."""
+    n = len(sizes)
+    row = np.repeat(np.arange(n), sizes)
     _, code, often = np.unique(tokens, return_inverse=True, return_counts=True)
-    by_rarity = np.argsort(often, kind="stable")
-    rank = np.empty_like(by_rarity)
-    rank[by_rarity] = np.arange(len(rank))
-    code, often = np.sort(row * len(rank) + rank[code]) - row * len(rank), often[by_rarity]
-    place, size = np.arange(len(code)) - start[row], sizes[row]
-    probe = (often[code] > 1) & (place <= size + (-percent * size) // 100)
-    index = probe & (place <= size + (-2 * percent * size) // (100 + percent))
-    probe, index = (np.flatnonzero(x)[np.argsort(code[x], kind="stable")] for x in (probe, index))
-    meet = np.zeros((n, n), bool)
-    bounds = np.flatnonzero(np.diff(code[index], prepend=-1, append=-1))
-    of = code[index][bounds[:-1]]
-    lo, hi = np.searchsorted(code[probe], of), np.searchsorted(code[probe], of, "right")
-    for i, j, k, m in zip(bounds, bounds[1:], lo, hi, strict=False):
-        if m - k > 1:
-            meet[row[index[i:j]][:, None], row[probe[k:m]]] = True
-    meet |= meet.T
-    meet &= (comps[:, None] != comps) & (100 * np.minimum(sizes[:, None], sizes) >= percent * np.maximum(sizes[:, None], sizes))
-    meet = np.triu(meet, 1)
-    if first:
-        meet[first:] = False
-        meet[:, :first] = False
-    links, own = [], np.zeros(len(rank), bool)
-    for i in np.flatnonzero(meet.any(axis=1)):
-        left, many = np.flatnonzero(meet[i]), 16
-        own[code[start[i] : start[i + 1]]] = True
-        while len(left := left[comps[left] != comps[i]]):
-            some, left, many = left[:many], left[many:], 4 * many
-            at = np.cumsum(sizes[some]) - sizes[some]
-            both = np.add.reduceat(own[code[np.arange(sizes[some].sum()) + np.repeat(start[some] - at, sizes[some])]].astype(np.int64), at)
-            for j in some[100 * both >= percent * (sizes[some] + sizes[i] - both)]:
-                if comps[j] != comps[i]:
-                    links.append((int(named[i]), int(named[j])))
-                    comps[comps == comps[j]] = comps[i]
-        own[code[start[i] : start[i + 1]]] = False
+    order = np.argsort(code, kind="stable")
+    code, row = code[order], row[order]
+    right_from, left_to = (first, first) if first else (0, n)
+    out = np.zeros((left_to, n - right_from), np.float32)
+    frequent = np.flatnonzero(often >= COMMON)
+    column = np.full(len(often), -1)
+    column[frequent] = np.arange(len(frequent))
+    for lo in range(0, len(frequent), COLUMNS):
+        some = (column[code] >= lo) & (column[code] < lo + COLUMNS)
+        present = np.zeros((n, COLUMNS), np.float32)
+        present[row[some], column[code[some]] - lo] = 1
+        out += present[:left_to] @ present[right_from:].T
+    rare = (often > 1) & (often < COMMON)
+    kept = rare[code]
+    code, row = code[kept], row[kept]
+    left, right = (row < left_to, row >= right_from)
+    right_code, right_row = code[right], row[right] - right_from
+    lo, hi = np.searchsorted(right_code, code[left]), np.searchsorted(right_code, code[left], "right")
+    left_row, many = row[left], hi - lo
+    done = np.cumsum(many)
+    start = 0
+    while start < len(left_row):
+        stop = max(start + 1, int(np.searchsorted(done, (done[start - 1] if start else 0) + AT_ONCE, "right")))
+        m = many[start:stop]
+        at = np.arange(m.sum()) + np.repeat(lo[start:stop] - (np.cumsum(m) - m), m)
+        pairs = np.repeat(left_row[start:stop], m) * out.shape[1] + right_row[at]
+        out += np.bincount(pairs, minlength=out.size).reshape(out.shape)
+        start = stop
+    return out
+
+
+def _block_links(tokens: np.ndarray, sizes: np.ndarray, comps: np.ndarray, first: int, percent: int) -> list[tuple[int, int]]:
+    """Links of different components between a block's rows, or between its first rows and the others where `first` is not 0: of all links a spanning set. Exact."""
+    both = _common_counts(tokens, sizes, first)
+    left, right = (slice(0, first), slice(first, None)) if first else (slice(None), slice(None))
+    linked = 100 * both >= percent * (sizes[left, None] + sizes[None, right] - both)
+    linked &= comps[left, None] != comps[None, right]
+    i, j = np.nonzero(linked if first else np.triu(linked, 1))
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            root[x] = x = root.get(up, up)
+        return x
+
+    links = []
+    for a, b in np.unique(np.stack([comps[left][i], comps[right][j]], 1), axis=0).tolist():
+        x, y = find(a), find(b)
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            links.append((a, b))
     return links
 
 
-def _tokens(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    raw = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, KEPT)
-    full = np.zeros((len(raw), 8), np.uint8)
-    full[:, :KEPT] = raw
-    return full.view(np.uint64).ravel(), np.array([len(x) // KEPT for x in packed], np.int64)
+def _block_writer(folder: str):
+    """Writes a partition's blocks, sorted by number, as one shard, and returns a row about each. A block: numbers of rows and tokens, components, sizes, tokens."""
+
+    def write(batches):
+        from pyspark import TaskContext
+
+        shard, out, offset, last = TaskContext.get().partitionId(), None, 0, None
+        comps, sets = [], []
+
+        def flush():
+            nonlocal offset, comps, sets
+            sizes = np.array([len(x) // 8 for x in sets], "<i8")
+            raw = np.array([len(sizes), sizes.sum()], "<i8").tobytes() + np.array(comps, "<i8").tobytes() + sizes.tobytes() + b"".join(sets)
+            out.write(raw)
+            row = (*last, int(sizes.min()), int(sizes.max()), min(comps), max(comps), shard, offset, len(raw))
+            offset, comps, sets = offset + len(raw), [], []
+            return pa.RecordBatch.from_arrays([pa.array([x], pa.binary() if k == 2 else pa.int64()) for k, x in enumerate(row)], [c.split()[0] for c in _BLOCKS.split(", ")])
+
+        for batch in batches:
+            for block, tree, region, comp, shingle in zip(*(batch.column(c).to_pylist() for c in ("block", "tree", "region", "comp", "shingles")), strict=True):
+                out = out or ShardWriter(folder, f"blocks-{shard:06d}.bin")
+                if last and block != last[0]:
+                    yield flush()
+                last = (block, tree, region)
+                comps.append(comp)
+                sets.append(shingle)
+        if sets:
+            yield flush()
+        if out:
+            out.commit()
+
+    return write
+
+
+_BLOCKS = "block long, tree long, region binary, lo long, hi long, least long, most long, shard long, offset long, bytes long"
+
+
+def _block(folder: str, shard: int, offset: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    raw = np.frombuffer(read_range(folder, f"blocks-{shard:06d}.bin", offset, size), "<i8")
+    n = int(raw[0])
+    return raw[2 : 2 + n], raw[2 + n : 2 + 2 * n], raw[2 + 2 * n :].view("<u8")
 
 
-def _scan_blocks(percent: int):
-    """_block_links() over pairs of blocks; same: of one block."""
+def _scan_blocks(folder: str, percent: int):
+    """_block_links() of pairs of blocks, which are read from the shared folder; of one block where both are the same."""
 
     def scan(batches):
         for batch in batches:
-            for k in range(batch.num_rows):
-                one = batch.slice(k, 1)
-                sides = ["rows_a"] if one.column("a")[0] == one.column("b")[0] else ["rows_a", "rows_b"]
-                flat = [one.column(c).flatten() for c in sides]
-                packed = [x for f in flat for x in f.field("shingles").to_pylist()]
-                comps = np.concatenate([np.asarray(f.field("comp")) for f in flat])
-                links = _block_links(*_tokens(packed), comps, len(flat[0]) if len(flat) > 1 else 0, percent)
+            for a, b, *refs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                one = _block(folder, *refs[:3])
+                comps, sizes, tokens = one
+                first = 0
+                if a != b:
+                    comps, sizes, tokens = (np.concatenate(x) for x in zip(one, _block(folder, *refs[3:]), strict=True))
+                    first = len(one[0])
+                links = _block_links(tokens, sizes, comps, first, percent)
                 yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in links], pa.int64()) for c in (0, 1)], ["ca", "cb"])
 
     return scan
@@ -269,14 +320,9 @@ def _confirmed(percent: int):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
-                wide = []
-                for one in (x, y):
-                    raw = np.frombuffer(one.as_buffer(), np.uint8).reshape(-1, KEPT)
-                    full = np.zeros((len(raw), 8), np.uint8)
-                    full[:, :KEPT] = raw
-                    wide.append(full.view(np.uint64).ravel())
-                both = len(np.intersect1d(*wide, assume_unique=True))
-                keep.append(100 * both >= percent * (len(wide[0]) + len(wide[1]) - both))
+                own = [np.frombuffer(one.as_buffer(), "<u8") for one in (x, y)]
+                both = len(np.intersect1d(*own, assume_unique=True))
+                keep.append(100 * both >= percent * (len(own[0]) + len(own[1]) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return confirm
@@ -294,8 +340,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, text: str = "text", doc_
     ones. Candidates that the whole signature doesn't rule out are confirmed on the full sets. Rows of larger regions
     that are still in different components after that are compared further: see _joined_in_dense_regions.
 
-    Null and blank texts: no shingles, own component, kept. Rows with one doc_id are one node. A row without
-    doc_id gets no component unless its text has copies with one; kept is then false. Columns beyond text and doc_id are ignored.
+    Null and blank texts: no shingles, own component, kept. Rows with one doc_id are one node: different texts under
+    one doc_id link what each of them is linked with. A row without doc_id gets no component unless its text has copies
+    with one; kept is then false. An empty table gives no rows. Texts of any length are one set of hashes at a time. Columns beyond text and doc_id are ignored.
     """
     spark = docs.sparkSession
     wide = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -327,7 +374,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, text: str = "text", doc_
         both = some.join(sets.toDF("a", "set_a").hint("merge"), "a").join(sets.toDF("b", "set_b").hint("merge"), "b").select("a", "b", "set_a", "set_b")
         return both.mapInArrow(_confirmed(percent), "a long, b long")
 
-    found = components(confirmed(pairs))
+    known = sketches.where("key is not null and doc_id is not null").select("doc_id", "key")
+    several = known.groupBy("doc_id").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least != most").select("doc_id")
+    same_id = known.join(several, "doc_id").join(classes.select("key", "rep").hint("merge"), "key").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    found = components(confirmed(pairs).union(same_id))
     if not dense.isEmpty():
         found = _joined_in_dense_regions(dense, classes, sets, found, width, percent)
     named = classes.select("key", "rep").join(found, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("class_component"))
@@ -341,28 +391,29 @@ def _joined_in_dense_regions(dense: DataFrame, classes: DataFrame, sets: DataFra
 
     A row of a large region meets only some of it as a neighbour. Of regions that still hold several components, all
     rows are compared, on their full sets, with all that are in another component: sorted by size, they are cut into blocks, the
-    largest component's apart, and a task gets two blocks. Blocks of one component only, or whose sizes rule links out, don't meet.
+    largest component's apart, each block is written once to the shared folder, and a task reads two of them and counts
+    what their rows have in common. Blocks of one component only, or whose sizes rule links out, don't meet. Only numbers of blocks are shuffled in pairs.
     """
     comps = classes.join(found, F.col("rep") == F.col("node"), "left").select("rep", "n", F.coalesce("component", "rep").alias("comp"))
     comps = comps.groupBy("rep", "comp").agg(F.max("n").alias("n"))
     rows = settled(dense.join(comps, "rep").select("tree", "region", "rep", "comp", "n"))
     parts = rows.groupBy("tree", "region", "comp").agg(F.count("*").alias("size"))
     mixed_regions = parts.groupBy("tree", "region").agg(F.max_by("comp", F.struct("size", "comp")).alias("largest"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-    rows = settled(rows.join(mixed_regions, ["tree", "region"]).select("tree", "region", (F.col("comp") == F.col("largest")).alias("main"), "n", "rep", "comp"))
+    # a region may hold a third of all rows: its one row here meets them in SALTS parts
+    salted = mixed_regions.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).join(salted.hint("merge"), ["tree", "region", "salt"])
+    rows = settled(rows.select("tree", "region", (F.col("comp") == F.col("largest")).alias("main"), "n", "rep", "comp"))
     order = ["tree", "region", "main", "n", "rep"]
     cut = settled(rows.repartitionByRange(width, *order).sortWithinPartitions(*order).mapInArrow(_cut, "block long, tree int, region binary, rep long, comp long"))
     full = cut.join(sets.where("octet_length(shingles) > 0").toDF("rep", "shingles").hint("merge"), "rep")
-    size = F.octet_length("shingles") / KEPT
-    blocks = settled(full.groupBy("block", "tree", "region").agg(
-        F.collect_list(F.struct("comp", "shingles")).alias("rows"), F.min(size).cast("long").alias("lo"), F.max(size).cast("long").alias("hi"), F.min("comp").alias("least"), F.max("comp").alias("most"),
-    ))
-    about = blocks.drop("rows")
-    a, b = (about.select("tree", "region", *[F.col(c).alias(f"{c}_{k}") for c in ("block", "lo", "hi", "least", "most")]) for k in "ab")
+    folder = fresh_folder(comps.sparkSession, "blocks")
+    full = full.repartition(width, "block").sortWithinPartitions("block", "rep", "shingles").select("block", "tree", "region", "comp", "shingles")
+    about = settled(full.mapInArrow(_block_writer(folder), _BLOCKS))
+    a, b = (about.select("tree", "region", *[F.col(c).alias(f"{c}_{k}") for c in ("block", "lo", "hi", "least", "most", "shard", "offset", "bytes")]) for k in "ab")
     apart = "least_a != least_b or most_a != most_b or least_a != most_a"
     fit = f"100 * hi_a >= {percent} * lo_b and 100 * hi_b >= {percent} * lo_a"
-    pairs = settled(a.join(b, ["tree", "region"]).where(f"block_a <= block_b and ({apart}) and {fit}").select(F.col("block_a").alias("a"), F.col("block_b").alias("b")))
-    side = lambda c: blocks.select(F.col("block").alias(c), F.col("rows").alias(f"rows_{c}")).hint("merge")
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "rows_a", "rows_b")
-    links = components(both.mapInArrow(_scan_blocks(percent), "ca long, cb long"), "ca", "cb")
+    pairs = settled(a.join(b, ["tree", "region"]).where(f"block_a <= block_b and ({apart}) and {fit}").select("block_a", "block_b", *[f"{c}_{k}" for k in "ab" for c in ("shard", "offset", "bytes")]))
+    tasks = max(1, min(pairs.count(), 4 * width))
+    links = components(pairs.repartition(tasks).mapInArrow(_scan_blocks(folder, percent), "ca long, cb long"), "ca", "cb")
     final = links.select(F.col("node").alias("comp"), F.col("component").alias("final"))
     return comps.join(final, "comp", "left").select(F.col("rep").alias("node"), F.coalesce("final", "comp").alias("component"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's shared folder. A temporary folder is set only where none is configured, as in tests."""
+    """The session's shared folder. A temporary folder is set only where none is configured and the whole session runs on one machine, as in tests."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if not spark.sparkContext.getCheckpointDir():
@@ -17,6 +17,8 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     found = spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="tidemark-"))
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
