@@ -56,9 +56,49 @@ def test_stages(spark, tmp_path):
     assert all(np.frombuffer(r.ids_le, "<u4").tolist() == sp.encode(text[r.doc_id], add_bos=True, add_eos=True) and r.n_tokens == len(r.ids_le) // 4 for r in five)
 
 
-def test_run_and_awkward_rows(spark):
-    assert corpus_pipeline.run(spark, SMALL).count() > 100
-    docs = table(spark, [(1, None, None, None), (2, "", "en", "a"), (3, "some words of text here", "en", None), (3, "some words of text here", "en", None), (None, "some words of text here", "en", "a")])
-    for _, stage in corpus_pipeline.STAGES:
-        assert stage(spark, docs, SMALL).count() >= 0
+AWKWARD = [
+    (1, None, None, None), (2, "", "en", "a"), (3, "some words of text here", "en", None), (3, "some words of text here", "en", None), (None, "some words of text here", "en", "a"), (None, "other words stand in this row", "en", "a"),
+    (3, "quite another text under an id that is taken", "en", "a"), (None, None, "en", "a"), (9, "12 ## 34", "en", "a"), (10, "SOME words of  text here", "de", "b"),
+]
+
+
+def stored(spark, rows, folder):
+    """A table of documents with the labels of the smallest one."""
+    table(spark, rows).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{folder}/documents.parquet")
+    spark.read.parquet(f"{SMALL}/labels.parquet").write.parquet(f"{folder}/labels.parquet")
+    return str(folder)
+
+
+def test_near_copies_of_awkward_rows(spark, tmp_path):
+    """Rows without doc_id and with one that others have are documents each; of copies the smallest doc_id stays, and none without."""
+    docs = spark.read.parquet(stored(spark, AWKWARD, tmp_path) + "/documents.parquet")
+    wanted = sorted([(1, None), (2, ""), (3, "some words of text here"), (3, "quite another text under an id that is taken"), (9, "12 ## 34")], key=str)
+    for again in (docs, table(spark, AWKWARD)):
+        kept = corpus_pipeline.without_near_copies(spark, again, SMALL)
+        assert kept.columns == again.columns
+        found = Counter((r.doc_id, r.text) for r in kept.collect())
+        assert {(i, t): n for (i, t), n in found.items() if i is not None} == Counter(wanted)
+        assert {t: n for (i, t), n in found.items() if i is None} == {None: 1, "other words stand in this row": 1}
+    assert corpus_pipeline.without_near_copies(spark, docs.where("false"), SMALL).count() == 0
+
+
+def test_run_of_awkward_and_empty_tables(spark, tmp_path):
+    rows = corpus_pipeline.run(spark, stored(spark, AWKWARD, tmp_path / "awkward")).collect()
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    coded = {(i, tuple(sp.encode(t, add_bos=True, add_eos=True))) for i, t, _, _ in AWKWARD if t}
+    assert rows and all((r.doc_id, tuple(np.frombuffer(r.ids_le, "<u4").tolist())) in coded for r in rows)
+    assert all(r.n_tokens == len(r.ids_le) // 4 for r in rows) and not {1, 2, 9} & {r.doc_id for r in rows}
+    assert corpus_pipeline.run(spark, stored(spark, [], tmp_path / "empty")).collect() == []
+
+
+def test_stages_of_awkward_rows(spark):
+    docs = table(spark, AWKWARD)
+    stages = dict(corpus_pipeline.STAGES)
+    assert {r.text for r in stages["language"](spark, docs, SMALL).collect()} <= {t for _, t, _, _ in AWKWARD if t and any(map(str.isalpha, t))}
+    wanted = Counter((r.doc_id, r.kept_text) for r in quality_scores(docs, spark.read.parquet(f"{SMALL}/labels.parquet"), keep=docs.columns).where("score >= 0.5").collect())
+    assert Counter((r.doc_id, r.text) for r in stages["quality"](spark, docs, SMALL).collect()) == wanted
+    planned = mixing.plan(docs, whole=True, keep=["text"]).collect()
+    assert Counter((r.doc_id, r.text) for r in stages["mixing"](spark, docs, SMALL).collect()) == sum((Counter({(r.doc_id, r.kept_text): len(r.placements)}) for r in planned), Counter())
+    assert stages["encoding"](spark, docs, SMALL).count() == len(AWKWARD)
+    for stage in stages.values():
         assert stage(spark, docs.where("false"), SMALL).count() == 0

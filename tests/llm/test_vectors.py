@@ -8,7 +8,7 @@ from conftest import as_rows
 
 from tidemark.llm import queries
 from tidemark.llm.graph import components
-from tidemark.llm.vectors import near_duplicate_vectors, no_random_access, top_k
+from tidemark.llm.vectors import Lists, near_duplicate_vectors, no_random_access, top_k
 
 SCHEMA = "vec_id long, embedding array<float>, label int, dim int, score double, key string"
 
@@ -78,13 +78,78 @@ def test_no_random_access_is_exact():
     rng = np.random.default_rng(3)
     for n in (1, 4, 5, 6, 700):
         c, q = rng.integers(-50, 50, (n, 8)).astype(float), rng.integers(-50, 50, (20, 8)).astype(float)
-        at, rows, score = no_random_access(c, np.arange(n), q, np.arange(20) - 5, 5)
+        at, rows, score, _ = no_random_access(Lists(c, np.arange(n)), q, np.arange(20) - 5, 5)
         for k in range(20):
             s = c @ q[k]
             best = [j for j in np.lexsort((np.arange(n), -s)) if j != k - 5][:5]
             assert rows[at == k].tolist() == best and score[at == k].tolist() == s[best].tolist()
 
 
+def test_no_random_access_stops_early():
+    """With a score to beat, or with candidates far above the rest, lists are read in part."""
+    rng = np.random.default_rng(4)
+    c, q = rng.integers(-50, 50, (4000, 8)).astype(float), rng.integers(-50, 50, (30, 8)).astype(float)
+    c[:300] = q[np.arange(300) % 30] * 4
+    lists, ids = Lists(c, np.arange(4000)), np.arange(30) + 10_000
+    at, rows, score, read = no_random_access(lists, q, ids, 5)
+    assert read < 30 * 8 * 4000 / 2
+    best = np.sort(q @ c.T, axis=1)[:, -5:][:, ::-1]
+    assert all(score[at == k].tolist() == best[k].tolist() for k in range(30))
+    again = no_random_access(lists, q, ids, 5, best[:, 4])
+    assert again[3] <= read and sorted(zip(*again[:3])) == sorted(zip(at, rows, score))
+    assert len(no_random_access(lists, q, ids, 5, best[:, 0] + 1)[0]) == 0
+
+
+def test_top_k_of_large_components(spark):
+    """Products beyond doubles' and beyond 64-bit integers: exact order, scores within a long."""
+    for big in (2.0**26, 2.0**60):
+        rows = [(0, [big, 1.0]), (1, [big, 3.0]), (2, [big, 2.0]), (3, [-big, 0.5]), (4, [1.0, 1.0])]
+        got = [(r.vec_id, r.score) for r in top_k(spark.createDataFrame([(*r, 0, 0, 0.0, "") for r in rows], SCHEMA)).orderBy("rank").collect()]
+        exact = sorted(((-(256 * int(big) * 256 * int(v[0]) + 256 * int(256 * v[1])), i) for i, v in rows[1:]))
+        assert got == [(i, max(-(2**63), min(2**63 - 1, -s))) for s, i in exact]
+
+
+def test_top_k_over_blocks(spark, monkeypatch):
+    """Many blocks and tiles, clustered and not."""
+    from tidemark.llm import vectors
+
+    monkeypatch.setattr(vectors, "CANDIDATES", 64)
+    monkeypatch.setattr(vectors, "TOGETHER", 3)
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(12, 8))
+    v = np.concatenate([centres[rng.integers(0, 12, 700)] + rng.normal(size=(700, 8)) * 0.05, rng.normal(size=(300, 8))]).astype(np.float32)
+    found = top_k(spark.createDataFrame([(i, x.tolist(), 0, 0, 0.0, "") for i, x in enumerate(v)], SCHEMA), every=7)
+    ints = np.floor(256 * v.astype(np.float64)).astype(int)
+    wanted = []
+    for q in range(0, 1000, 7):
+        scored = sorted((-int(s), c) for c, s in enumerate(ints @ ints[q]) if c != q)[:5]
+        wanted += [(q, k + 1, c, -s) for k, (s, c) in enumerate(scored)]
+    assert sorted(map(tuple, found.collect())) == sorted(wanted)
+
+
+def test_near_duplicates_over_blocks(spark, monkeypatch):
+    """Many blocks, whose boxes leave out most tiles; ids with several vectors."""
+    from tidemark.llm import vectors
+
+    monkeypatch.setattr(vectors, "BLOCK", 32)
+    rng = np.random.default_rng(10)
+    centres = rng.normal(size=(40, 20))
+    v = (centres[rng.integers(0, 40, 900)] + rng.normal(size=(900, 20)) * rng.choice([0.02, 0.12, 0.2], (900, 1))).astype(np.float32).astype(np.float64)
+    u = v / np.sqrt((v * v).sum(axis=1, keepdims=True))
+    linked = (u @ u.T >= 0.98) & ~np.eye(900, dtype=bool)
+    df = spark.createDataFrame([(i, x.tolist(), 0, 0, 0.0, "") for i, x in enumerate(v)], SCHEMA)
+    root = list(range(900))
+    find = lambda i: i if root[i] == i else find(root[i])
+    for a, b in zip(*np.nonzero(linked), strict=True):
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_duplicate_vectors(df).collect()}
+    assert got == {i: (int(linked[i].sum()), find(i)) for i in range(900)}
+    rows = [(5, [1.0, 0.0]), (5, [0.0, 1.0]), (3, [0.0, 2.0]), (7, [4.0, 0.0]), (9, [1.0, 1.0])]
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in near_duplicate_vectors(spark.createDataFrame([(*r, 0, 0, 0.0, "") for r in rows], SCHEMA)).collect())
+    assert got == [(3, 1, 3), (5, 1, 3), (5, 1, 3), (7, 1, 3), (9, 0, 9)]
+
+
 def test_top_k_matches_sql(spark, duck):
     df = queries.op7_exact_top_k(spark, "/root/testdata/sf0.001")
     assert as_rows(df.select("query_id", "rank", "score", "vec_id").collect()) == as_rows(duck.sql(queries.SQL["op7_exact_top_k"]).project("query_id, rank, score, vec_id").fetchall())
