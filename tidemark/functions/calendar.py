@@ -24,6 +24,7 @@ def _month_number(name: Column) -> Column:
 def named_day(file_name: Column) -> Column:
     """struct(day, month, year) that a file name tells, or null: `_DDMM.pdf`, then `D Month YYYY`, then `Month D, YYYY`; year is null in the first form."""
     months = "|".join(MONTHS)
+    #: The three forms.
     forms = [
         (r"(?i)_(\d{2})(\d{2})\.pdf$", (1, 2, None)),
         (rf"(?i)(\d{{1,2}})\s+({months})\s+(\d{{4}})", (1, 2, 3)),
@@ -73,6 +74,20 @@ def fortnight(day: Column, anchor: Column) -> tuple[Column, Column]:
     return week_bounds(week_index(day, anchor, 14), anchor, None, 14)
 
 
+def fortnight_closing_on(day: Column, anchor: Column) -> tuple[Column, Column]:
+    """First and last day of the period that ends on this very day; nulls on other days."""
+    start, end = fortnight(day, anchor)
+    return F.when(end == day, start), F.when(end == day, end)
+
+
+def closed_fortnights(day: Column, anchor: Column) -> Column:
+    """All periods from the anchor on that have ended by the end of day, oldest first, as array<struct<start, stop>>."""
+    n = week_index(F.date_add(day, 1), anchor, 14)
+    start = lambda k: F.date_add(anchor, (k * 14).cast("int"))
+    numbers = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(numbers, lambda k: F.struct(start(k).alias("start"), F.date_add(start(k), 13).alias("stop")))
+
+
 def latest_closed_fortnight_end(day: Column, anchor: Column, most_age: int | None = None) -> Column:
     """Last day of the newest period that has ended before day; null before the first one, or if it ended more than most_age days ago."""
     closed = week_index(day, anchor, 14)
@@ -120,10 +135,29 @@ def scan_limit(days_since: Column) -> Column:
     return F.coalesce(F.greatest(F.lit(200), days_since * 50), F.lit(200)).cast("long")
 
 
+#: Month names.
+MONTH_NAMES = {
+    "en": tuple(m.capitalize() for m in MONTHS),
+    "de": ("Januar", "Februar", "März", "April", "Mai", "Juni", "Juli", "August", "September", "Oktober", "November", "Dezember"),
+    "he": ("ינואר", "פברואר", "מרץ", "אפריל", "מאי", "יוני", "יולי", "אוגוסט", "ספטמבר", "אוקטובר", "נובמבר", "דצמבר"),
+}
+
+
+def _month_name(day: Column, lang: str) -> Column:
+    return F.element_at(F.array(*map(F.lit, MONTH_NAMES[lang])), F.month(day))
+
+
 def long_form(day: Column, lang: str) -> Column:
-    """A date written out in English or German (months from a fixed list, as the engine's locale may differ)."""
-    english = [m.capitalize() for m in MONTHS]
-    #: German month names.
-    german = ["Januar", "Februar", "März", "April", "Mai", "Juni", "Juli", "August", "September", "Oktober", "November", "Dezember"]
-    month = F.element_at(F.array(*map(F.lit, german if lang == "de" else english)), F.month(day))
-    return F.concat(F.dayofmonth(day).cast("string"), F.lit(". " if lang == "de" else " "), month, F.lit(" "), F.year(day).cast("string"))
+    """A date written out in English, German or Hebrew (months from a fixed list, as the engine's locale may differ)."""
+    return F.concat(F.dayofmonth(day).cast("string"), F.lit({"en": " ", "de": ". ", "he": " ב"}[lang]), _month_name(day, lang), F.lit(" "), F.year(day).cast("string"))
+
+
+def range_form(start: Column, stop: Column, lang: str) -> Column:
+    """A period written out: the later day's month and year in German, the earlier one's month in English, numbers in Hebrew."""
+    day, month = (lambda c: F.dayofmonth(c).cast("string")), (lambda c: F.month(c).cast("string"))
+    year = F.year(stop).cast("string")
+    if lang == "he":
+        return F.concat(day(start), F.lit("."), month(start), F.lit("–"), day(stop), F.lit("."), month(stop), F.lit("."), year)
+    if lang == "de":
+        return F.concat(day(start), F.lit(".–"), day(stop), F.lit(". "), _month_name(stop, "de"), F.lit(" "), year)
+    return F.concat(_month_name(start, "en"), F.lit(" "), day(start), F.lit("–"), day(stop), F.lit(", "), year)

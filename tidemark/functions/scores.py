@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from difflib import SequenceMatcher
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Z = 1.96
 
@@ -24,6 +28,17 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(either == 0, F.lit(1.0)).otherwise(both / either)
 
 
+@F.pandas_udf(T.DoubleType())
+def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Similarity of two texts by their longest common blocks, as Python's standard library counts it; nulls as empty."""
+    return pd.Series([SequenceMatcher(None, x or "", y or "", autojunk=False).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
+
+
+def pair_score(headline_a: Column, headline_b: Column, words_a: Column, words_b: Column) -> Column:
+    """How well two items fit: the better of their headlines' similarity and their excerpts' common words."""
+    return F.greatest(sequence_ratio(headline_a, headline_b), jaccard(words_a, words_b))
+
+
 def colour_step(change: Column, full: float = 3.5, steps: int = 10) -> Column:
     """Signed step of a colour scale that grows with the root of the change."""
     t = F.least(F.lit(1.0), F.sqrt(F.abs(change) / full))

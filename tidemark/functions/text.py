@@ -13,13 +13,23 @@ LEAST_COMPARED, LEAST_REAL = 200, 100
 LETTERS_MARKERS = ("LETTERS TO THE EDITOR", "LESERBRIEFE", "Leserbriefe")
 SELF_EXCLUSION = r"(?i)^(not applicable|n/a\b|not geopolitical|non-geopolitical|not a geopolitical)"
 #: Number words before a noun for newspapers.
-NUMBER_WORDS = {"en": ("two", "three", "four", "five", "six", "seven", "eight", "nine", "ten"), "de": ("zwei", "drei", "vier", "fünf", "sechs", "sieben", "acht", "neun", "zehn")}
-SOURCE_NOUNS = {"en": "newspapers|papers|dailies|outlets", "de": "Zeitungen|Blätter|Medien"}
+NUMBER_WORDS = {"he": ("שני", "שלושה", "ארבעה", "חמישה", "שישה", "שבעה", "שמונה", "תשעה", "עשרה", "שניים"), "en": ("two", "three", "four", "five", "six", "seven", "eight", "nine", "ten"), "de": ("zwei", "drei", "vier", "fünf", "sechs", "sieben", "acht", "neun", "zehn")}
+SOURCE_NOUNS = {"en": "newspapers|papers|dailies|outlets", "de": "Zeitungen|Blätter|Medien", "he": "עיתונ(?:ים|י)"}
+#: Names of fields that leak into a text, least share of a script, claims that can be about the listed sources.
+FIELD_NAMES, LEAST_SHARE, MOST_SOURCES = r"\b(?:comparison_text|topic_label|overview)_(?:he|en|de)\b|\brecord_(?:biweekly_topic|overview|topic_comparison)\b", 0.35, 15
+#: Kinds of defects, the most telling first, as they are logged.
+DEFECTS = {"foreign_chars": "foreign_script_chars", "mixed_script": "mixed_script", "tag_fragment": "tag_fragment", "low_script_ratio": "low_script_ratio"}
+#: A digit 1 between two names, as a hyphen or a blank leaves it.
+ONE_BETWEEN = r"(?<=[a-z])-1(?=[ \u00A0][A-Z])|(?<=[a-z])[ \u00A0]1-(?=[A-Z])"
+
+
+#: White space, listed: much faster than the pattern for it that follows Unicode.
+_BLANKS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
 
 def squeezed(text: Column) -> Column:
     """White space runs as one blank, none at the ends."""
-    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), _BLANKS, " "))
 
 
 def normalised(text: Column) -> Column:
@@ -100,14 +110,18 @@ def script_ratio(text: Column, script: str, least: int = 40) -> Column:
     return F.when(letters >= least, own / letters)
 
 
-def mixed_script_words(text: Column, script: str, other: str) -> Column:
-    """Words that have letters of both scripts."""
+def mixed_script_words(text: Column, script: str, other: str, but: str | None = None) -> Column:
+    """Words that have letters of both scripts, less those that are all of the pattern `but`, such as a prefix before a name."""
     found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"[\p{L}\p{M}]+"), F.lit(0))
-    return F.filter(found, lambda w: w.rlike(script) & w.rlike(other))
+    return F.filter(found, lambda w: w.rlike(script) & w.rlike(other) & (~w.rlike(f"^(?:{but})$") if but else F.lit(True)))
 
 
-def joined_prefix_repaired(text: Column, prefix: str, other: str) -> Column:
-    """A prefix of another script glued to a word: a hyphen between, or a blank after two letters or more. Repairing twice changes nothing."""
+def joined_prefix_repaired(text: Column, prefix: str, other: str, words: Sequence[str] = ()) -> Column:
+    """A prefix of another script glued to a word: a hyphen between, or a blank after two letters or more. With `words`, a blank after
+    these and a hyphen after any other one or two letters. Repairing twice changes nothing."""
+    if words:
+        text = F.regexp_replace(text, rf"(?<!\p{{L}})({'|'.join(words)})(?={other})", "$1 ")
+        return F.regexp_replace(text, rf"(?<!\p{{L}})({prefix}{{1,2}})(?={other})", "$1-")
     text = F.regexp_replace(text, rf"(?<!\p{{L}})({prefix})(?={other})", "$1-")
     return F.regexp_replace(text, rf"(?<!\p{{L}})({prefix}{{2,}})(?={other})", "$1 ")
 
@@ -116,12 +130,33 @@ def leftover_tags(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"</?\w+>?"), F.lit(0))
 
 
+def tag_fragments(text: Column) -> Column:
+    """Beginnings of tags and names of fields inside a text."""
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"</?[A-Za-z_][\w:-]*|{FIELD_NAMES}"), F.lit(0))
+
+
+def text_defects(text: Column, allowed: str, scripts: tuple[str, ...], expected: str | None = None) -> Column:
+    """Map of the kinds of defects that a text has to what was found: characters outside the Java class `allowed`, words of both `scripts` (and a third pattern of such words that are right), tags and field names, and a share of
+    letters of the script `expected` (null: not judged) below LEAST_SHARE. Empty if the text is clean."""
+    strange = F.array_sort(F.array_distinct(F.filter(F.split(F.regexp_replace(F.coalesce(text, F.lit("")), allowed, ""), ""), lambda c: c != "")))
+    ratio = script_ratio(text, expected) if expected else F.lit(None).cast("double")
+    low = F.when(ratio < LEAST_SHARE, F.array(F.round(ratio, 2).cast("string"))).otherwise(F.array().cast("array<string>"))
+    found = dict(zip(DEFECTS, (strange, mixed_script_words(text, *scripts), tag_fragments(text), low), strict=True))
+    return F.map_filter(F.map_from_arrays(F.array(*map(F.lit, found)), F.array(*found.values())), lambda _, v: F.size(v) > 0)
+
+
+def priority_defect(defects: Column, otherwise: str = "suspicious") -> Column:
+    """The most telling kind in a map of text_defects(), by its name in the log."""
+    return F.coalesce(*[F.when(F.array_contains(F.map_keys(defects), kind), F.lit(name)) for kind, name in DEFECTS.items()], F.lit(otherwise))
+
+
 def claimed_sources(text: Column, lang: str) -> Column:
     """Numbers, as digits or words, that stand before a noun for newspapers."""
     words = NUMBER_WORDS[lang]
-    pattern = rf"(?iU)\b(\d+|{'|'.join(words)})\s+(?:\w+\s+)?(?:{SOURCE_NOUNS[lang]})\b"
+    #: How such claims are worded.
+    pattern = rf"(?iU)(\d+|{'|'.join(words)})\s+{SOURCE_NOUNS[lang]}" if lang == "he" else rf"(?iU)\b(\d+|{'|'.join(words)})\s+(?:\w+\s+)?(?:{SOURCE_NOUNS[lang]})\b"
     found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(1))
-    return F.transform(found, lambda x: F.coalesce(x.try_cast("int"), (F.array_position(F.array(*map(F.lit, words)), F.lower(x)) + 1).cast("int")))
+    return F.transform(found, lambda x: F.coalesce(x.try_cast("int"), (F.pmod(F.array_position(F.array(*map(F.lit, words)), F.lower(x)) - 1, F.lit(9)) + 2).cast("int")))
 
 
 def tells(text: Column, dictionary: Sequence[str]) -> Column:
@@ -132,7 +167,7 @@ def tells(text: Column, dictionary: Sequence[str]) -> Column:
 
 def one_for_and(text: Column) -> Column:
     """A digit 1 wedged between two names by a hyphen."""
-    return F.coalesce(text.rlike(r"(?<=[a-z])-1(?=[  ][A-Z])|(?<=[a-z])[  ]1-(?=[A-Z])"), F.lit(False))
+    return F.coalesce(text.rlike(ONE_BETWEEN), F.lit(False))
 
 
 def content_key(*parts: Column) -> Column:

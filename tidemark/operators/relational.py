@@ -70,9 +70,13 @@ def with_counts(parents: DataFrame, children: DataFrame, key: str, name: str) ->
 
 
 def in_intervals(rows: DataFrame, day: str, intervals: DataFrame, start: str, end: str, how: str = "left") -> DataFrame:
-    """Rows with the first interval that holds their day, by a broadcast of the small interval table (a calendar: one row a week)."""
-    grid = F.broadcast(intervals)
-    return rows.join(grid, F.col(day).between(F.col(start), F.col(end)), how)
+    """Rows with the columns of the first interval that holds their day, null if none does (how="inner": without such rows). Intervals are a calendar, one row a week at most: all of them go with every row as one list."""
+    first = [start, end, *[c for c in intervals.columns if c not in (start, end)]]
+    listed = intervals.agg(F.sort_array(F.collect_list(F.struct(*first))).alias("_intervals"))
+    hit = F.get(F.filter("_intervals", lambda x: F.col(day).between(x[start], x[end])), F.lit(0))
+    out = rows.crossJoin(F.broadcast(listed)).withColumn("_hit", hit)
+    out = out.where("_hit is not null") if how == "inner" else out
+    return out.select(*rows.columns, *[F.col("_hit")[c].alias(c) for c in intervals.columns])
 
 
 def with_default(rows: DataFrame, dictionary: DataFrame, key: str, value: str, default: Column) -> DataFrame:
@@ -88,10 +92,15 @@ def first_of_group(rows: DataFrame, group: Sequence[str], order: Sequence[str],
 
 
 def duplicates_of_first(rows: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Rows with the key of their group's first row, and whether they are it."""
+    """Rows with the key of their group's first row, and whether they are it. Null keys are a group like any other."""
     first = first_of_group(rows, group, order)
-    out = rows.join(first, list(group))
-    return out.withColumn("is_first", F.expr(" and ".join(f"{c} = first_{c}" for c in order)))
+    first = first.select(*[F.col(c).alias(f"_of_{c}") for c in group], *[f"first_{c}" for c in order])
+    on = None
+    for c in group:
+        same = F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+        on = same if on is None else on & same
+    out = rows.join(first, on).drop(*[f"_of_{c}" for c in group])
+    return out.withColumn("is_first", F.expr(" and ".join(f"{c} <=> first_{c}" for c in order)))
 
 
 def filled_grid(rows: DataFrame, keys: DataFrame, steps: DataFrame, on: Sequence[str], *counts: str) -> DataFrame:

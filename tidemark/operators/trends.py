@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import calendar
+from tidemark.operators.ordered import packed as packed
+from tidemark.operators.ordered import with_place
 from tidemark.operators.relational import filled_grid
 
 LOW_VOLUME = 10
@@ -91,12 +93,14 @@ def week_change(series: DataFrame, key: str, week: str, value: str) -> DataFrame
 
 def movers(changes: DataFrame, key: str, change: str, n: int = 4) -> DataFrame:
     """The n strongest rises and falls with their places."""
-    up = F.row_number().over(Window.orderBy(F.desc(change), key))
-    down = F.row_number().over(Window.orderBy(F.asc(change), key))
     rows = changes.where(F.col(change).isNotNull())
-    rising = rows.orderBy(F.desc(change), key).limit(n).select(key, change, F.lit("rising").alias("side"), up.cast("int").alias("place"))
-    falling = rows.orderBy(F.asc(change), key).limit(n).select(key, change, F.lit("falling").alias("side"), down.cast("int").alias("place"))
-    return rising.unionByName(falling)
+
+    def best(by: Column, side: str) -> DataFrame:
+        # n rows are left to be numbered
+        place = F.row_number().over(Window.orderBy(by, key)).cast("int")
+        return rows.orderBy(by, key).limit(n).select(key, change, F.lit(side).alias("side"), place.alias("place"))
+
+    return best(F.desc(change), "rising").unionByName(best(F.asc(change), "falling"))
 
 
 def mix_adjusted(days: DataFrame, day: str, kind: str, source: str, items: str, tags: str) -> DataFrame:
@@ -124,26 +128,16 @@ def drift_alerts(days: DataFrame, series: str, day: str, z: str) -> DataFrame:
     return days.withColumn("alert", F.coalesce((F.col(z) < -2) | run, F.lit(False)))
 
 
-def packed(rows: DataFrame, group: str, order: str, size: str, budget: float) -> DataFrame:
-    """Consecutive windows of rows of a group: a new one begins where the next row would go over the budget. A fold over the group's ordered sizes: a group is one run's list of days."""
-    listed = rows.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("double").alias("s")))).alias("_l"))
-    start = F.struct(F.lit(0).alias("w"), F.lit(0.0).alias("used"), F.array().cast("array<int>").alias("all"))
-
-    def step(acc, x):
-        fresh = (acc["used"] > 0) & (acc["used"] + x["s"] > budget)
-        w = acc["w"] + F.when(fresh, 1).otherwise(0)
-        return F.struct(w.alias("w"), F.when(fresh, x["s"]).otherwise(acc["used"] + x["s"]).alias("used"), F.concat(acc["all"], F.array(w)).alias("all"))
-
-    folded = listed.withColumn("_w", F.aggregate("_l", start, step)["all"])
-    return folded.select(group, F.explode(F.arrays_zip("_l", "_w")).alias("x")).select(group, F.col("x._l.o").alias(order), F.col("x._l.s").alias(size), F.col("x._w").alias("window"))
-
-
 def order_statistics(rows: DataFrame, group: Sequence[str], value: str) -> DataFrame:
-    """n, total, mean, median (element n // 2), p95 (element int(0.95 n)), max: elements, never interpolated, found by place in each group."""
-    w = Window.partitionBy(*group)
-    placed = rows.withColumns({"_p": F.row_number().over(w.orderBy(value)) - 1, "_n": F.count("*").over(w)})
-    pick = lambda place: F.max(F.when(F.col("_p") == place, F.col(value)))
-    return placed.groupBy(*group).agg(
-        F.count("*").alias("n"), F.sum(value).alias("total"), F.avg(value).alias("mean"), pick(F.floor(F.col("_n") / 2)).alias("median"),
-        pick(F.least(F.floor(0.95 * F.col("_n")), F.col("_n") - 1)).alias("p95"), F.max(value).alias("max"),
-    )
+    """n, total, mean, median (element n // 2), p95 (element int(0.95 n)), max: elements, never interpolated, found by place in each group, however large."""
+    value_of = F.col(value).asc_nulls_first()
+    placed = with_place(rows.select(*group, value), [value_of], "_p", group)
+    sums = rows.groupBy(*group).agg(F.count("*").alias("n"), F.sum(value).alias("total"), F.avg(value).alias("mean"), F.max(value).alias("max"))
+    on = None
+    for c in group:
+        same = F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+        on = same if on is None else on & same
+    half, late = F.floor(F.col("n") / 2) + 1, F.least(F.floor(0.95 * F.col("n")), F.col("n") - 1) + 1
+    picked = placed.select(*[F.col(c).alias(f"_of_{c}") for c in group], F.col(value).alias("_v"), "_p").join(sums, on).where((F.col("_p") == half) | (F.col("_p") == late))
+    at = lambda place: F.max(F.when(F.col("_p") == place, F.col("_v")))
+    return picked.groupBy(*group, "n", "total", "mean", "max").agg(at(half).alias("median"), at(late).alias("p95")).select(*group, "n", "total", "mean", "median", "p95", "max")

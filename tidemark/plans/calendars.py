@@ -70,6 +70,14 @@ def t8(spark, d):
     return days(spark, d).select("day", calendar.latest_closed_fortnight_end(F.col("day"), anchor).alias("closed"), calendar.latest_closed_fortnight_end(F.col("day"), anchor, 8).alias("recent"))
 
 
+@query("t8_closed_fortnights", f"""with {DAYS}, c as (select day, cast(floor(date_diff('day', date '1996-01-01', day + 1) / 14.0) as integer) as n from d)
+select day, [date '1996-01-01' + cast(k * 14 + 13 as integer) for k in range(0, greatest(n, 0))] as ends, case when date_diff('day', date '1996-01-01', day) % 14 in (13, -1) then day - 13 end as closing from c""")
+def t8_closed(spark, d):
+    anchor = F.lit("1996-01-01").cast("date")
+    ends = F.transform(calendar.closed_fortnights(F.col("day"), anchor), lambda p: p["stop"])
+    return days(spark, d).select("day", ends.alias("ends"), calendar.fortnight_closing_on(F.col("day"), anchor)[0].alias("closing"))
+
+
 @query("t9_report_periods", f"""with {DAYS} select day, day - 7 as week_start, day - 14 as before_start, cast(date_trunc('month', day) - interval 1 month as date) as month_start, cast(date_trunc('month', day) - interval 1 day as date) as month_end from d""")
 def t9(spark, d):
     start, end = calendar.preset("previous_month", F.col("day"))
@@ -127,6 +135,9 @@ def t16(spark, d):
 
 
 @query("t17_written_dates", f"""with {DAYS} select day, dayofmonth(day) || ' ' || ['January','February','March','April','May','June','July','August','September','October','November','December'][month(day)] || ' ' || year(day) as en,
-dayofmonth(day) || '. ' || ['Januar','Februar','März','April','Mai','Juni','Juli','August','September','Oktober','November','Dezember'][month(day)] || ' ' || year(day) as de from d""")
+dayofmonth(day) || '. ' || ['Januar','Februar','März','April','Mai','Juni','Juli','August','September','Oktober','November','Dezember'][month(day)] || ' ' || year(day) as de,
+dayofmonth(day) || ' ב' || ['ינואר','פברואר','מרץ','אפריל','מאי','יוני','יולי','אוגוסט','ספטמבר','אוקטובר','נובמבר','דצמבר'][month(day)] || ' ' || year(day) as he,
+['January','February','March','April','May','June','July','August','September','October','November','December'][month(day)] || ' ' || dayofmonth(day) || '–' || dayofmonth(day + 13) || ', ' || year(day + 13) as period,
+dayofmonth(day) || '.–' || dayofmonth(day + 13) || '. ' || ['Januar','Februar','März','April','Mai','Juni','Juli','August','September','Oktober','November','Dezember'][month(day + 13)] || ' ' || year(day + 13) as zeitraum from d""")
 def t17(spark, d):
-    return days(spark, d).select("day", calendar.long_form(F.col("day"), "en").alias("en"), calendar.long_form(F.col("day"), "de").alias("de"))
+    return days(spark, d).select("day", calendar.long_form(F.col("day"), "en").alias("en"), calendar.long_form(F.col("day"), "de").alias("de"), calendar.long_form(F.col("day"), "he").alias("he"), calendar.range_form(F.col("day"), F.date_add("day", 13), "en").alias("period"), calendar.range_form(F.col("day"), F.date_add("day", 13), "de").alias("zeitraum"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import scores, text
-from tidemark.operators import relational, trends
+from tidemark.operators import excerpts, relational, trends
 from tidemark.plans.registry import articles, query, table
 
 
@@ -102,16 +102,19 @@ with d as (select doc_id, source, case when length(n) < 200 then '' else sha256(
            from (select doc_id, source, replace(lower(trim(regexp_replace(text, '\s+', ' ', 'g'))), 'ß', 'ss') as n from documents))
 select doc_id, min(doc_id) over (partition by source, h) as first_doc from d where h != ''""")
 def j13(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "source", text.text_hash(F.col("text")).alias("h")).where("h != ''")
+    # the length is tested before anything is hashed, so that hashes are taken once and of long texts only
+    folded = table(spark, d, "documents").select("doc_id", "source", text.normalised(F.col("text")).alias("n")).where(F.length("n") >= text.LEAST_COMPARED)
+    docs = folded.select("doc_id", "source", F.sha2("n", 256).alias("h"))
     return relational.duplicates_of_first(docs, ["source", "h"], ["doc_id"]).select("doc_id", F.col("first_doc_id").alias("first_doc"))
 
 
 @query("j14_greedy_match")
 def j14(spark, d):
-    words = table(spark, d, "conversations").select("conv_id", "turn", text.word_set(F.col("text")).alias("w"))
-    a, b = words.where("turn % 2 = 0"), words.where("turn % 2 = 1").toDF("conv_id", "other", "v")
-    pairs = a.join(b, "conv_id").select("conv_id", "turn", "other", scores.jaccard(F.col("w"), F.col("v")).alias("score"))
-    return relational.greedy_matches(pairs, "conv_id", "turn", "other", "score", 0.01)
+    # headline: a turn's first words; excerpt: all of it
+    items = table(spark, d, "conversations").select("conv_id", "turn", excerpts.plain_words(text.first_words(F.col("text"))).alias("h"), text.word_set(F.col("text")).alias("w"))
+    a, b = items.where("turn % 2 = 0"), items.where("turn % 2 = 1").toDF("conv_id", "other", "g", "v")
+    pairs = a.join(b, "conv_id").select("conv_id", "turn", "other", scores.pair_score(F.col("h"), F.col("g"), F.col("w"), F.col("v")).alias("score"))
+    return relational.greedy_matches(pairs, "conv_id", "turn", "other", "score", 0.2)
 
 
 @query("j15_grid", """

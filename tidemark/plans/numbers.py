@@ -51,6 +51,18 @@ def m6(spark, d):
     return rows.select("region", F.to_json(F.struct("region", "countries")).alias("payload"))
 
 
+@query("m6_payload_by_paper", """with {articles}, n as (select region, newspaper, country, count(*) as n from articles group by all),
+p as (select region, newspaper, '"' || newspaper || '":{' || string_agg('"' || country || '":' || n, ',' order by country) || '}' as part from n group by 1, 2)
+select region, '{"region":"' || region || '","per_paper":{' || string_agg(part, ',' order by newspaper) || '}}' as payload from p group by 1""")
+def m6_by_paper(spark, d):
+    nested = lambda key, value: F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, value))))
+    n = articles(spark, d).groupBy("region", "newspaper", "country").agg(F.count("*").alias("n"))
+    papers = n.groupBy("region", "newspaper").agg(F.to_json(nested("country", "n")).alias("countries"))
+    rows = papers.groupBy("region").agg(F.array_sort(F.collect_list(F.struct("newspaper", "countries"))).alias("p"))
+    part = F.array_join(F.transform("p", lambda x: F.concat(F.to_json(F.array(x["newspaper"])).substr(F.lit(2), F.length(F.to_json(F.array(x["newspaper"]))) - 2), F.lit(":"), x["countries"])), ",")
+    return rows.select("region", F.concat(F.lit('{"region":"'), "region", F.lit('","per_paper":{'), part, F.lit("}}")).alias("payload"))
+
+
 @query("m7_payload_state", f"with {CHANGES} select country, week, case when change is null then 'none' when n_named < 5 then 'low' else cast(cast(floor(10 * least(1, sqrt(abs(change) / 3.5)) + 0.5) * sign(change) as integer) as varchar) end as state from c join shares using (country, week)")
 def m7(spark, d):
     s = changes(spark, d).join(shares(spark, d).select("country", "week", "n_named"), ["country", "week"])
@@ -64,10 +76,10 @@ def m8(spark, d):
 
 
 @query("m9_assignments", """
-with a as (select l_orderkey, l_partkey, l_suppkey % 7 as n, l_linenumber as pos from lineitem where l_orderkey < 3000)
+with a as (select l_orderkey, l_partkey, l_suppkey % 7 as n, l_linenumber as pos from lineitem)
 select l_orderkey, l_partkey, arg_min(n, (pos, n)) as n from a where n between 1 and 5 and l_partkey in (select p_partkey from part where p_size > 10) group by 1, 2""")
 def m9(spark, d):
-    a = table(spark, d, "lineitem").where("l_orderkey < 3000").select("l_orderkey", F.struct(F.col("l_linenumber").alias("pos"), F.col("l_partkey").cast("string").alias("id"), (F.col("l_suppkey") % 7).cast("string").alias("n")).alias("e"))
+    a = table(spark, d, "lineitem").select("l_orderkey", F.struct(F.col("l_linenumber").alias("pos"), F.col("l_partkey").cast("string").alias("id"), (F.col("l_suppkey") % 7).cast("string").alias("n")).alias("e"))
     lists = a.groupBy("l_orderkey").agg(F.to_json(F.array_sort(F.collect_list("e"))).alias("assigned"))
     entries = lists.select("l_orderkey", F.explode(F.from_json("assigned", "array<struct<pos:int,id:string,n:string>>")).alias("e"))
     rows = entries.select("l_orderkey", F.expr("try_cast(e.id as bigint)").alias("l_partkey"), F.expr("try_cast(e.n as bigint)").alias("n"), "e.pos").where("n between 1 and 5")

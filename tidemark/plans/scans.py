@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import calendar, text
 from tidemark.operators import relational
@@ -79,10 +80,10 @@ def s14(spark, d):
 
 
 @query("s16_schema_migration", """
-select c_custkey as key, c_name as name, c_mktsegment as segment from customer where c_custkey <= 50
+select c_custkey as key, c_name as name, c_mktsegment as segment from customer
 union all select s_suppkey, s_name, null from supplier""")
 def s16(spark, d):
-    new = table(spark, d, "customer").where("c_custkey <= 50").selectExpr("c_custkey as key", "c_name as name", "c_mktsegment as segment")
+    new = table(spark, d, "customer").selectExpr("c_custkey as key", "c_name as name", "c_mktsegment as segment")
     return files.evolved(new, table(spark, d, "supplier").selectExpr("s_suppkey as key", "s_name as name"))
 
 
@@ -131,7 +132,7 @@ union all select event_id + 1000000, 'rebuilt', date '2024-01-03' from events wh
 def d5(spark, d):
     e = table(spark, d, "events").select("event_id", "event_type", F.to_date("ts").alias("day"))
     unit = e.where("day = date'2024-01-03' and event_type = 'click'").select((F.col("event_id") + 1000000).alias("event_id"), F.lit("rebuilt").alias("event_type"), "day")
-    return relational.replaced_unit(e, unit.unionByName(e.where("day = date'2024-01-03'").limit(1).where("false")), ["day"])
+    return relational.replaced_unit(e, unit, ["day"])
 
 
 @query("d6_keep_created", """
@@ -263,9 +264,9 @@ def f12(spark, d):
 
 @query("f13_unreadable", r"""
 select doc_id, regexp_matches(t, '\(cid:\d+\)') and length(trim(regexp_replace(regexp_replace(t, '\(cid:\d+\)', ' ', 'g'), '\s+', ' ', 'g'))) < 100 as unreadable
-from (select doc_id, case when doc_id % 5 = 0 then '(cid:7)' || left(text, 120) else text end as t from documents)""")
+from (select doc_id, case when doc_id % 5 = 0 then '(cid:7)' || coalesce(source, '') else text end as t from documents)""")
 def f13(spark, d):
-    t = F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("(cid:7)"), F.substring("text", 1, 120))).otherwise(F.col("text"))
+    t = F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("(cid:7)"), F.coalesce("source", F.lit("")))).otherwise(F.col("text"))
     return table(spark, d, "documents").select("doc_id", text.is_unreadable(t).alias("unreadable"))
 
 
@@ -275,9 +276,8 @@ marked as (select *, min(doc_id) over (partition by bytes) as same_bytes, min(do
 select doc_id, case when same_bytes < doc_id then 'copy' when same_text < doc_id then 'same text' when n < 50 then 'blank' else 'model' end as decision from marked""")
 def f14(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "lang", F.md5("text").alias("bytes"), F.sha2(text.normalised(F.col("text")), 256).alias("folded"), F.length("text").alias("n"))
-    firsts = docs.groupBy("bytes").agg(F.min("doc_id").alias("same_bytes"))
-    texts = docs.groupBy("lang", "folded").agg(F.min("doc_id").alias("same_text"))
-    joined = docs.join(firsts, "bytes").join(texts, ["lang", "folded"])
+    joined = relational.duplicates_of_first(docs, ["bytes"], ["doc_id"]).withColumnRenamed("first_doc_id", "same_bytes").drop("is_first")
+    joined = relational.duplicates_of_first(joined, ["lang", "folded"], ["doc_id"]).withColumnRenamed("first_doc_id", "same_text")
     decision = F.when(F.col("same_bytes") < F.col("doc_id"), "copy").when(F.col("same_text") < F.col("doc_id"), "same text").when(F.col("n") < 50, "blank").otherwise("model")
     return joined.select("doc_id", decision.alias("decision"))
 
@@ -294,6 +294,12 @@ def f16(spark, d):
     return table(spark, d, "events").select("event_id", F.coalesce(F.from_json("props", "map<string,string>").isNotNull(), F.lit(False)).alias("is_object"))
 
 
+@query("f16_required_fields", "select event_id, coalesce(try_cast(json_extract(props, '$.k') as bigint) is not null, false) as is_valid from events")
+def f16_required(spark, d):
+    records = files.validated(table(spark, d, "events").select("event_id", "props"), "props", T.StructType([T.StructField("k", T.LongType())]), ["k"])
+    return records.select("event_id", "is_valid")
+
+
 @query("f17_facets", """with {articles}
 select article_id from articles where (region in ('EUROPE', 'ASIA')) and category in ('1-URGENT', '3-MEDIUM') and day >= date '1996-01-01' and day <= date '1997-12-31'""")
 def f17(spark, d):

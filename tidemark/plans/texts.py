@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import functions as F
 
-from tidemark.functions import places, text, web
+from tidemark.functions import framing, places, scores, text, web
+from tidemark.operators import audit, excerpts
 from tidemark.plans.registry import query, table
 
 
@@ -36,9 +36,24 @@ def x4(spark, d):
     return docs(spark, d).select("doc_id", codes.alias("codes"))
 
 
-@query("x5_item_text", "select doc_id, md5(left(text, 20) || ' ' || chr(10) || ' ' || '' || ' ' || chr(10) || ' ' || coalesce(lang, '')) as m from documents")
+COUNTRIES = (
+    ("Algeria", "DZ"), ("Argentina", "AR"), ("Brasilien", "BR"), ("Canada", "CA"), ("Egypt", "EG"), ("Äthiopien", "ET"), ("France", "FR"), ("Deutschland", "DE"), ("India", "IN"), ("Indonesien", "ID"), ("Iran", "IR"), ("Irak", "IQ"), ("Japan", "JP"),
+    ("Jordanien", "JO"), ("Kenya", "KE"), ("Marokko", "MA"), ("Mozambique", "MZ"), ("Peru", "PE"), ("China", "CN"), ("Rumänien", "RO"), ("Saudi Arabia", "SA"), ("Vietnam", "VN"), ("Russia", "RU"), ("United Kingdom", "GB"), ("Vereinigte Staaten", "US"),
+)
+
+
+@query("x4_named_countries", "select s_suppkey, case when s_suppkey % 2 = 0 then list_sort([code, 'IL']) else [code] end as codes from (select s_suppkey, [" + ", ".join(f"'{c}'" for _, c in COUNTRIES) + "][s_suppkey % 25 + 1] as code from supplier)")
+def x4_countries(spark, d):
+    from tidemark.sources.files import country_names
+
+    name = F.get(F.array(*[F.lit(n) for n, _ in COUNTRIES]), (F.col("s_suppkey") % len(COUNTRIES)).cast("int"))
+    said = F.concat(F.when(F.col("s_suppkey") % 2 == 0, "The Knesset heard of ").otherwise("News from "), name, F.lit("'s envoy in nice weather."))
+    return table(spark, d, "supplier").select("s_suppkey", places.named(said, places.with_country_names(country_names(spark))).alias("codes"))
+
+
+@query("x5_item_text", "select doc_id, md5(coalesce(text, '') || ' ' || chr(10) || ' ' || '' || ' ' || chr(10) || ' ' || coalesce(lang, '')) as m from documents")
 def x5(spark, d):
-    return docs(spark, d).select("doc_id", F.md5(places.item_text(F.substring("text", 1, 20), F.lit(None).cast("string"), F.col("lang"))).alias("m"))
+    return docs(spark, d).select("doc_id", F.md5(places.item_text(F.col("text"), F.lit(None).cast("string"), F.col("lang"))).alias("m"))
 
 
 NAMES = ("The_Guardian_0101.pdf", "Die Welt - 3 May 2024.pdf", "Welt am Sonntag.pdf", "la-times 4.pdf", "The Times UK.pdf", "wsj_2708.pdf", "WSJ Magazine.pdf", "USA Today Sports Weekly.pdf", "TE-2024-05-01 WEB.pdf", "Dein Spiegel.pdf", "Der_Spiegel_12.pdf", "FAZ 2.pdf", "other.pdf")
@@ -115,9 +130,9 @@ def x17(spark, d):
     return docs(spark, d).select("doc_id", text.mixed_script_words(F.col("text"), "[éè]", "[A-Z]").alias("words"))
 
 
-@query("x18_prefix_repair", r"select doc_id, md5(regexp_replace(regexp_replace(left(text, 400), '(^|[^\p{L}])(é)([a-z])', '\1\2-\3', 'g'), '(^|[^\p{L}])(éé+)([a-z])', '\1\2 \3', 'g')) as repaired from documents")
+@query("x18_prefix_repair", r"select doc_id, md5(regexp_replace(regexp_replace(text, '(^|[^\p{L}])(é)([a-z])', '\1\2-\3', 'g'), '(^|[^\p{L}])(éé+)([a-z])', '\1\2 \3', 'g')) as repaired from documents")
 def x18(spark, d):
-    return docs(spark, d).select("doc_id", F.md5(text.joined_prefix_repaired(F.substring("text", 1, 400), "é", "[a-z]")).alias("repaired"))
+    return docs(spark, d).select("doc_id", F.md5(text.joined_prefix_repaired(F.col("text"), "é", "[a-z]")).alias("repaired"))
 
 
 @query("x19_leftover_tags", r"select page_id, cast(len(regexp_extract_all(html, '</?\w+>?')) as integer) as n from pages")
@@ -130,10 +145,18 @@ def x20(spark, d):
     return docs(spark, d).select("doc_id", F.round(text.script_ratio(F.col("text"), "a-z"), 6).alias("ratio"))
 
 
-@query("x21_defects", r"select doc_id, case when length(text) < 50 then 'short' when regexp_matches(text, '</\w+') then 'tag' when regexp_matches(text, '!!') then 'shouting' end as priority from documents")
+ALLOWED = r"[\x00-\x7FÀ-ÿ]"
+
+
+@query("x21_defects", r"""
+with d as (select doc_id, case when regexp_matches(text, '[^\x00-\x7FÀ-ÿ]') then 'foreign_chars' end as a,
+    case when len([w for w in regexp_extract_all(text, '[\p{L}\p{M}]+') if regexp_matches(w, '[éè]') and regexp_matches(w, '[A-Z]')]) > 0 then 'mixed_script' end as b,
+    case when regexp_matches(text, '</?[A-Za-z_]') then 'tag_fragment' end as c,
+    case when length(regexp_replace(text, '[^\p{L}]', '', 'g')) >= 40 and length(regexp_replace(text, '[^a-m]', '', 'g')) / length(regexp_replace(text, '[^\p{L}]', '', 'g')) < 0.35 then 'low_script_ratio' end as e from documents)
+select doc_id, list_sort([x for x in [a, b, c, e] if x is not null]) as kinds, coalesce(case when a is not null then 'foreign_script_chars' end, b, c, e, 'suspicious') as priority from d""")
 def x21(spark, d):
-    found = F.array_compact(F.array(F.when(F.length("text") < 50, "short"), F.when(F.size(text.leftover_tags(F.col("text"))) > 0, F.when(F.col("text").rlike(r"</\w+"), "tag")), F.when(F.col("text").contains("!!"), "shouting")))
-    return docs(spark, d).select("doc_id", F.get(found, F.lit(0)).alias("priority"))
+    found = docs(spark, d).select("doc_id", text.text_defects(F.col("text"), ALLOWED, ("[éè]", "[A-Z]"), "a-m").alias("found"))
+    return found.select("doc_id", F.array_sort(F.map_keys("found")).alias("kinds"), text.priority_defect(F.col("found")).alias("priority"))
 
 
 @query("x22_name_forms", r"select doc_id, cast(len(regexp_extract_all(text, '(?:^|[^A-Za-z])(the)')) as integer) as forms from documents")
@@ -166,22 +189,58 @@ def x27(spark, d):
 
 
 @query("x26_origin_groups", r"""
-with t as (select doc_id, unnest(regexp_extract_all(left(text, 600), '[A-Za-z]+')) as w, generate_subscripts(regexp_extract_all(left(text, 600), '[A-Za-z]+'), 1) as i from documents)
-select a.doc_id, cast(count(distinct lower(a.w)) as integer) as origins from t a where lower(a.w) in ('the', 'and', 'of') and exists (select 1 from t b where b.doc_id = a.doc_id and b.i between a.i + 1 and a.i + 5 and lower(b.w) in ('that', 'with', 'is')) group by 1""")
+with t as (select doc_id, unnest(regexp_extract_all(text, '[\p{L}\p{M}\p{N}_''’-]+')) as w, generate_subscripts(regexp_extract_all(text, '[\p{L}\p{M}\p{N}_''’-]+'), 1) as i from documents),
+o as (select doc_id, i, lower(w) as w from t where lower(w) in ('the', 'and', 'of')), n as (select doc_id, i from t where regexp_matches(w, '(?i)that|with|is')),
+near as (select distinct o.doc_id, o.w from o join (select doc_id, i - unnest([1, 2, 3, 4, 5]) as i from n) m using (doc_id, i))
+select documents.doc_id, coalesce(list_sort(list(w) filter (where w is not null)), []) as origins from documents left join near using (doc_id) group by 1""")
 def x26(spark, d):
-    # an origin word counts where one of the five words after it is a noun of the press
-    words = docs(spark, d).select("doc_id", F.transform(F.regexp_extract_all(F.substring("text", 1, 600), F.lit("[A-Za-z]+"), F.lit(0)), F.lower).alias("w"))
-    near = F.filter(F.transform("w", lambda x, i: F.when(x.isin("the", "and", "of") & F.arrays_overlap(F.slice("w", i + 2, 5), F.array(*map(F.lit, ("that", "with", "is")))), x)), lambda x: x.isNotNull())
-    return words.select("doc_id", F.size(F.array_distinct(near)).alias("origins")).where("origins > 0")
+    # the rule on words that the invented prose has
+    found = framing.origin_groups(F.col("text"), [("^the$", "the"), ("^and$", "and"), ("^of$", "of")], [], "that|with|is")
+    return docs(spark, d).select("doc_id", found.alias("origins"))
+
+
+PAPERS = {"The Guardian": "UK", "The Daily Telegraph": "UK", "Los Angeles Times": "US", "The Washington Post": "US", "Süddeutsche Zeitung": "Germany", "Neue Zürcher Zeitung": "Switzerland", "The Economist": "International"}
+OPENINGS = (
+    "Coverage splits between the British press and German outlets.", "The papers differ less along national lines than over tone.", "Coverage divides along national lines.",
+    "The British government and the American one differ.", "US media contrast with Swiss commentary. British papers agree.", "British and American press do not differ.",
+)
+
+
+@query("x26_national_framing", "select s_suppkey, [true, false, true, false, true, false][s_suppkey % 6 + 1] as framed from supplier")
+def x26_framing(spark, d):
+    opening = F.get(F.array(*map(F.lit, OPENINGS)), (F.col("s_suppkey") % len(OPENINGS)).cast("int"))
+    return table(spark, d, "supplier").select("s_suppkey", framing.frames_by_nationality(opening, "en").alias("framed"))
+
+
+LISTS = ("American papers - The Guardian, Los Angeles Times and The Washington Post - agree.", "British papers such as The Guardian and The Daily Telegraph agree.", "German newspapers, especially Neue Zürcher Zeitung and The Economist.")
+
+
+@query("x28_nationality_labels", "select s_suppkey, [['American papers: The Guardian'], [], []][s_suppkey % 3 + 1] as conflicts from supplier")
+def x28(spark, d):
+    said = F.get(F.array(*map(F.lit, LISTS)), (F.col("s_suppkey") % len(LISTS)).cast("int"))
+    found = table(spark, d, "supplier").select("s_suppkey", framing.nationality_conflicts(PAPERS, "en")(said).alias("found"))
+    return found.select("s_suppkey", F.transform("found", lambda c: F.concat(c["label"], F.lit(": "), F.array_join(c["wrong"], ", "))).alias("conflicts"))
 
 
 @query("x29_section_audit", r"""
-select doc_id, 'short' as flag from documents where length(text) < 50 union all select doc_id, 'tag' from documents where regexp_matches(text, '</\w+')
-union all select doc_id, 'shouting' from documents where contains(text, '!!') union all select doc_id, 'number' from documents where regexp_matches(text, '\d{6,}')""")
+with f as (
+    select doc_id, 'foreign_chars' as kind from documents where regexp_matches(text, '[^\x00-\x7FÀ-ÿ]')
+    union all select doc_id, 'mixed_script' from documents where len([w for w in regexp_extract_all(text, '[\p{L}\p{M}]+') if regexp_matches(w, '[éè]') and regexp_matches(w, '[A-Z]')]) > 0
+    union all select doc_id, 'tag_fragment' from documents where regexp_matches(text, '</?[A-Za-z_]')
+    union all select doc_id, 'low_script_ratio' from documents where lang = 'en' and length(regexp_replace(text, '[^\p{L}]', '', 'g')) >= 40 and length(regexp_replace(text, '[^a-m]', '', 'g')) / length(regexp_replace(text, '[^\p{L}]', '', 'g')) < 0.35
+    union all select doc_id, 'name_tell' from documents where contains(text, '!!') or contains(text, '###')
+    union all select doc_id, 'digit_one' from documents where regexp_matches(text, '[a-z]-1[ \x{00A0}][A-Z]|[a-z][ \x{00A0}]1-[A-Z]')
+    union all select doc_id, 'paper_count' from documents where doc_id % 5 = 0
+    union all select doc_id, 'nationality' from documents where doc_id % 5 = 1
+    union all select doc_id, 'framing' from documents where doc_id % 5 = 2)
+select doc_id, kind, case when kind = 'framing' then '' else 'said' end as field from f""")
 def x29(spark, d):
-    checks = {"short": F.length("text") < 50, "tag": F.col("text").rlike(r"</\w+"), "shouting": F.col("text").contains("!!"), "number": F.col("text").rlike(r"\d{6,}")}
-    flags = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in checks.items()]))
-    return docs(spark, d).select("doc_id", F.explode(flags).alias("flag"))
+    # every fifth text has a sentence before it that one of the last three checks finds
+    first = F.when(F.col("doc_id") % 5 == 0, "Four newspapers report. ").when(F.col("doc_id") % 5 == 1, "British papers such as Los Angeles Times agree. ").when(F.col("doc_id") % 5 == 2, "Coverage divides along national lines. ").otherwise("")
+    sections = docs(spark, d).select("doc_id", "lang", F.concat(first, F.coalesce("text", F.lit(""))).alias("said"))
+    papers = F.array(F.lit("The Guardian"), F.lit("The Daily Telegraph"))
+    flags = audit.section_flags(sections, "doc_id", {"said": "en"}, papers, PAPERS, ALLOWED, ("[éè]", "[A-Z]"), {"en": "a-m"}, {"en": ["!!", "###"]}, ["en"], F.col("lang") == "en")
+    return flags.select("doc_id", "kind", "field")
 
 
 @query("x30_one_for_and", "select doc_id, doc_id % 4 = 0 as wrong from documents")
@@ -197,22 +256,30 @@ def x31(spark, d):
 
 @query("x32_excerpt", "select d.doc_id, b.item_id from documents d, benchmark b where contains(d.text, b.text)")
 def x32(spark, d):
-    # benchmark is a table of fixed size; each excerpt is looked up in every text by its first words
-    items = table(spark, d, "benchmark")
-    return docs(spark, d).join(F.broadcast(items.select("item_id", F.col("text").alias("excerpt"))), F.col("text").contains(F.col("excerpt"))).select("doc_id", "item_id")
+    return excerpts.passages_found(docs(spark, d), "doc_id", "text", table(spark, d, "benchmark"), "item_id", "text")
 
 
-@query("x33_sequence_ratio")
-def x33(spark, d):
-    from difflib import SequenceMatcher
+@query("x32_excerpt_checks", rf"""
+with i as (select conv_id, turn, array_to_string(string_split({SQUEEZED}, ' ')[3:10], ' ') as excerpt, role as author from conversations),
+w as (select i.*, array_to_string(regexp_extract_all(lower(c.text), '[\p{{L}}\p{{M}}\p{{N}}_]+'), ' ') as page, array_to_string(regexp_extract_all(lower(excerpt), '[\p{{L}}\p{{M}}\p{{N}}_]+'), ' ') as own,
+    list_distinct(regexp_extract_all(lower(c.text), '[\p{{L}}\p{{N}}_]{{3,}}')) as page_words, list_distinct(regexp_extract_all(lower(excerpt), '[\p{{L}}\p{{N}}_]{{3,}}')) as words
+    from i join conversations c on c.conv_id = i.conv_id and c.turn = i.turn - i.turn % 2)
+select conv_id, turn, trim(excerpt) != '' and contains(page, own) as verbatim, trim(excerpt) != '' and len(list_intersect(words, page_words)) >= 0.9 * greatest(len(words), 1) as mostly,
+    not list_contains(page_words, lower(author)) as author_missing from w""")
+def x32_checks(spark, d):
+    # every second turn's excerpt is held against the turn before
+    c = table(spark, d, "conversations")
+    excerpt = F.array_join(F.slice(F.split(text.squeezed(F.col("text")), " "), 3, 8), " ")
+    items = c.select("conv_id", "turn", (F.col("turn") - F.col("turn") % 2).alias("page"), excerpt.alias("excerpt"), F.col("role").alias("author"))
+    pages = c.select("conv_id", F.col("turn").alias("page"), "text")
+    return excerpts.excerpt_checks(items, pages, ["conv_id", "page"], "excerpt", "author", "text").select("conv_id", "turn", "verbatim", "mostly", "author_missing")
 
-    @F.pandas_udf("double")
-    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([SequenceMatcher(None, x, y, autojunk=False).ratio() for x, y in zip(a, b, strict=True)])
 
-    c = table(spark, d, "conversations").select("conv_id", "turn", F.substring("text", 1, 200).alias("t"))
+@query("x33_sequence_ratio")
+def x33(spark, d):
+    c = table(spark, d, "conversations").select("conv_id", "turn", F.col("text").alias("t"))
     following = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("t").alias("next"))
-    return c.join(following, ["conv_id", "turn"]).select("conv_id", "turn", F.round(ratio("t", "next"), 6).alias("ratio"))
+    return c.join(following, ["conv_id", "turn"]).select("conv_id", "turn", F.round(scores.sequence_ratio("t", "next"), 6).alias("ratio"))
 
 
 @query("x34_content_key", "select doc_id, left(sha256('[\"' || lang || '\",\"' || source || '\"]'), 16) as key from documents")

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import calendar
-from tidemark.operators import relational, trends
+from tidemark.operators import ordered, relational, trends
 from tidemark.plans.aggregates import CELLS, SPREAD, shares, spread
 from tidemark.plans.registry import articles, query, table
 
@@ -71,12 +71,12 @@ def w7(spark, d):
 
 
 @query("w8_week_over_week", """with {articles}, f as (select min(day) as first from articles), n as (
-    select country, cast(floor(date_diff('day', first, day) / 28.0) as integer) as week, count(*) as n from articles, f where newspaper = 'BUILDING' group by all),
+    select country, cast(floor(date_diff('day', first, day) / 28.0) as integer) as week, count(*) as n from articles, f group by all),
 g as (select country, cast(week as integer) as week from (select distinct country from n), (select unnest(range(0, (select max(week) + 1 from n))) as week)),
 s as (select country, week, coalesce(n, 0) as n from g left join n using (country, week)), b as (select *, lag(n) over (partition by country order by week) as before from s)
 select country, week, round(case when before = 0 and n = 0 then 0.0 when before = 0 then null else cast(100 as double) * (n - before) / before end, 6) as pct from b""")
 def w8(spark, d):
-    n = trends.with_week(articles(spark, d), "day", 28).where("newspaper = 'BUILDING'").groupBy("country", "week").agg(F.count("*").alias("n"))
+    n = trends.with_week(articles(spark, d), "day", 28).groupBy("country", "week").agg(F.count("*").alias("n"))
     weeks = n.agg(F.max("week").alias("last")).select(F.explode(F.sequence(F.lit(0), "last")).alias("week"))
     grid = relational.filled_grid(n, n.select("country").distinct(), weeks, ["country", "week"], "n")
     return trends.week_change(grid, "country", "week", "n").select("country", "week", F.round("pct", 6).alias("pct"))
@@ -113,29 +113,33 @@ def w12(spark, d):
 
 
 PACKED = """
-with recursive d as (select lang, doc_id, n_chars, row_number() over (partition by lang order by doc_id) as k from documents where doc_id < 400),
+with recursive d as (select lang, doc_id, n_chars, row_number() over (partition by lang order by doc_id) as k from documents),
 f as (select lang, doc_id, n_chars, k, 0 as w, cast(n_chars as double) as used from d where k = 1
       union all select d.lang, d.doc_id, d.n_chars, d.k, case when f.used > 0 and f.used + d.n_chars > 20000 then f.w + 1 else f.w end, case when f.used > 0 and f.used + d.n_chars > 20000 then d.n_chars else f.used + d.n_chars end
       from f join d on d.lang = f.lang and d.k = f.k + 1)"""
 
 
-@query("w13_budget_packing", PACKED.replace("doc_id < 400", "true") + " select lang, doc_id, cast(w as integer) as \"window\" from f")
+@query("w13_budget_packing", PACKED + " select lang, doc_id, cast(w as integer) as \"window\" from f")
 def w13(spark, d):
     return trends.packed(table(spark, d, "documents"), "lang", "doc_id", "n_chars", 20000).select("lang", "doc_id", "window")
 
 
-@query("w14_bounded_chunks", PACKED.replace("doc_id < 400", "true") + " select lang, cast(w as integer) as chunk, count(*) as n, cast(sum(n_chars) as bigint) as chars from f group by 1, 2")
+@query("w14_bounded_chunks", PACKED + " select lang, cast(w as integer) as chunk, count(*) as n, cast(sum(n_chars) as bigint) as chars from f group by 1, 2")
 def w14(spark, d):
     packed = trends.packed(table(spark, d, "documents"), "lang", "doc_id", "n_chars", 20000)
     return packed.groupBy("lang", F.col("window").alias("chunk")).agg(F.count("*").alias("n"), F.sum("n_chars").cast("long").alias("chars"))
 
 
-@query("w15_round_robin_sample")
+@query("w15_round_robin_sample", """
+with t as (select doc_id, lang, source, cast(row_number() over (partition by lang, source order by md5('7:' || doc_id), doc_id) as integer) as turn from documents),
+p as (select *, cast(row_number() over (partition by lang order by turn, source nulls first) as integer) as place from t) select doc_id, lang, source, turn, place from p where place <= 20""")
 def w15(spark, d):
-    docs = table(spark, d, "documents")
-    turn = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.xxhash64("doc_id", F.lit(7))))
+    # each stratum's first 20 rows are enough: tasks drop the others before anything is shuffled
+    drawn = F.md5(F.concat(F.lit("7:"), F.col("doc_id").cast("string")))
+    turn = F.row_number().over(Window.partitionBy("lang", "source").orderBy(drawn, "doc_id"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("turn", "source"))
-    return docs.select("doc_id", "lang", "source").withColumn("turn", turn).withColumn("place", place).where("place <= 20")
+    first = table(spark, d, "documents").select("doc_id", "lang", "source").withColumn("turn", turn).where("turn <= 20")
+    return first.withColumn("place", place).where("place <= 20")
 
 
 @query("o1_multi_key", "select o_orderkey, cast(row_number() over (order by o_orderpriority, o_totalprice desc, o_orderkey) as integer) as place from orders where cast(o_orderdate as date) = date '1996-01-02'")
@@ -199,10 +203,11 @@ def o9(spark, d):
     return last_changes(spark, d).orderBy(F.desc(F.abs("change")), "country").limit(1)
 
 
-@query("o10_random_sample")
+@query("o10_random_sample", """
+select doc_id, quality from (select doc_id, quality, row_number() over (partition by quality order by md5('11:' || doc_id), doc_id) as place from labels) where place <= 10""")
 def o10(spark, d):
     labels = table(spark, d, "labels")
-    place = F.row_number().over(Window.partitionBy("quality").orderBy(F.xxhash64("doc_id", F.lit(11))))
+    place = F.row_number().over(Window.partitionBy("quality").orderBy(F.md5(F.concat(F.lit("11:"), F.col("doc_id").cast("string"))), "doc_id"))
     return labels.withColumn("place", place).where("place <= 10").select("doc_id", "quality")
 
 
@@ -217,4 +222,6 @@ with v as (select c_custkey, case when c_acctbal > 0 then c_acctbal end as v fro
 select c_custkey, cast(row_number() over (order by v desc nulls first, c_custkey) as integer) as first, cast(row_number() over (order by v asc nulls last, c_custkey) as integer) as last from v""")
 def o12(spark, d):
     v = table(spark, d, "customer").select("c_custkey", F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("v"))
-    return v.select("c_custkey", F.row_number().over(Window.orderBy(F.col("v").desc_nulls_first(), "c_custkey")).alias("first"), F.row_number().over(Window.orderBy(F.col("v").asc_nulls_last(), "c_custkey")).alias("last"))
+    first = ordered.with_place(v, [F.col("v").desc_nulls_first(), "c_custkey"], "first")
+    last = ordered.with_place(first, [F.col("v").asc_nulls_last(), "c_custkey"], "last")
+    return last.select("c_custkey", F.col("first").cast("int").alias("first"), F.col("last").cast("int").alias("last"))

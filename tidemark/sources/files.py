@@ -75,6 +75,16 @@ def skip_list(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return parsed.where("id is not null").select("id"), parsed.where("id is null").select("line")
 
 
+def country_names(spark: SparkSession, languages: Sequence[str] = ("en", "de")) -> dict[str, list[str]]:
+    """The names of all countries by their two-letter codes, as the Java runtime knows them in some languages."""
+    locale = spark.sparkContext._jvm.java.util.Locale
+    out = {}
+    for code in locale.getISOCountries():
+        country = locale("", code)
+        out[code] = list(dict.fromkeys(country.getDisplayCountry(locale(lang)) for lang in languages))
+    return out
+
+
 def file_hashes(spark: SparkSession, folder: str) -> DataFrame:
-    """SHA-256 of whole files."""
-    return spark.read.format("binaryFile").load(folder).select("path", F.sha2("content", 256).alias("sha256"))
+    """SHA-256 of whole files (up to 2 GB each) in a folder and the folders in it."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", F.sha2("content", 256).alias("sha256"))

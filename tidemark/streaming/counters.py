@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -56,7 +56,65 @@ def late_day(report_day: Column, processed_day: Column, first_time: Column) -> C
     return F.when(first_time & (processed_day > report_day), processed_day).otherwise(report_day)
 
 
+def shift_late(arrivals: DataFrame, keys: Sequence[str], report_day: str, processed_day: str, target: str, checkpoint: str) -> StreamingQuery:
+    """Appends each key's first arrival with the day it counts for (see late_day), in every batch against all batches before: later arrivals of a key change nothing, so published days stay closed."""
+    day = late_day(F.col(report_day), F.col(processed_day), F.lit(True))
+    return ingest_once(arrivals.withColumn("counts_for", day), keys, target, checkpoint, [processed_day, report_day])
+
+
+def run_with_open_batches(arrivals: DataFrame, keys: Sequence[str], work: Callable[[DataFrame], DataFrame], folder: str, checkpoint: str) -> StreamingQuery:
+    """Does `work` on arrivals in batches whose rows are recorded when they are begun and when they are done.
+
+    Batches that an earlier run has begun and not done are followed before any new work, with the time at which they were begun; their keys, and those done, are
+    not begun again. Tables in folder: begun (batch, begun_at) and done (batch, begun_at, resumed, the rows of work).
+    """
+
+    def table(spark: SparkSession, name: str, like: DataFrame) -> DataFrame:
+        try:
+            return spark.read.parquet(f"{folder}/{name}")
+        except Exception as e:  # nothing has been written yet
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            return like.limit(0)
+
+    def finish(rows: DataFrame, number: int, resumed: bool) -> None:
+        begun = F.first("begun_at")
+        stamp = rows.agg(begun.alias("begun_at"))
+        work(rows.drop("begun_at", "batch")).crossJoin(F.broadcast(stamp)).withColumn("resumed", F.lit(resumed)).write.mode("overwrite").parquet(f"{folder}/done/batch={number}")
+
+    def follow(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        empty = batch.withColumns({"begun_at": F.current_timestamp(), "batch": F.lit(0)})
+        begun = table(spark, "begun", empty)
+        done = table(spark, "done", empty).select("batch").distinct()
+        # batches are few: one number each
+        waiting = [r["batch"] for r in begun.where(F.col("batch") < number).select("batch").distinct().join(done, "batch", "left_anti").orderBy("batch").collect()]
+        for earlier in waiting:
+            finish(begun.where(F.col("batch") == earlier), earlier, True)
+        fresh = batch.dropDuplicates(list(keys)).join(begun.where(F.col("batch") != number).select(*keys), list(keys), "left_anti")
+        fresh.withColumn("begun_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{folder}/begun/batch={number}")
+        finish(spark.read.parquet(f"{folder}/begun/batch={number}"), number, False)
+
+    return arrivals.writeStream.foreachBatch(follow).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def run_weekly(events: DataFrame, ts: str, key: str, folder: str, checkpoint: str, watermark: str = "2 days", length: str = "7 days", slide: str | None = None) -> StreamingQuery:
+    """Counts of weekly() as a stream: each batch writes the windows it changed under its own number; latest_counts() reads them."""
+
+    def update(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/batch={number}")
+
+    counted = weekly(events, ts, key, watermark, length, slide)
+    return counted.writeStream.outputMode("update").foreachBatch(update).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def latest_counts(updates: DataFrame, key: str) -> DataFrame:
+    """Each window's count from the last batch that changed it."""
+    return updates.groupBy("start", key).agg(F.max_by("n", "batch").alias("n"))
+
+
 def weekly(events: DataFrame, ts: str, key: str, watermark: str = "2 days", length: str = "7 days", slide: str | None = None) -> DataFrame:
     """Events for each tumbling or sliding run of days; rows later than the watermark are dropped by the engine."""
     window = F.window(ts, length, slide) if slide else F.window(ts, length)
-    return events.withWatermark(ts, watermark).groupBy(window, key).agg(F.count("*").alias("n"), F.approx_count_distinct(key).alias("keys")).select(F.col("window.start").cast("date").alias("start"), key, "n")
+    events = events.withColumn(ts, F.col(ts).cast("timestamp"))
+    return events.withWatermark(ts, watermark).groupBy(window, key).agg(F.count("*").alias("n")).select(F.col("window.start").cast("date").alias("start"), key, "n")
