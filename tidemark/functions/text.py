@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,6 +27,11 @@ ONE_BETWEEN = r"(?<=[a-z])-1(?=[ \u00A0][A-Z])|(?<=[a-z])[ \u00A0]1-(?=[A-Z])"
 _BLANKS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
 
+def once(array: Column, use: Callable[[Column], Column]) -> Column:
+    """use(array) with the array computed once for each row, even if use() looks at it from every member of an array."""
+    return F.get(F.transform(F.array(array), use), F.lit(0))
+
+
 def squeezed(text: Column) -> Column:
     """White space runs as one blank, none at the ends."""
     return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), _BLANKS, " "))

@@ -28,22 +28,24 @@ def section_flags(
     joined = lambda found: F.array_join(found.cast("array<string>"), ", ")
     flags = []
     for field, lang in fields.items():
-        said = F.col(field)
-        defects = rules.text_defects(said, allowed, scripts, (expected or {}).get(lang))
+        said, defects = F.col(field), F.col(f"_defects_{field}")
         for kind in rules.DEFECTS:
             found = F.try_element_at(defects, F.lit(kind))
             shown = found.isNotNull() & (judged if kind == "low_script_ratio" and judged is not None else F.lit(True))
             flags.append(flag(kind, field, joined(found), shown))
         if (tells or {}).get(lang):
-            found = rules.tells(said, tells[lang])
+            found = F.col(f"_tells_{field}")
             flags.append(flag("name_tell", field, joined(found), F.size(found) > 0))
         if lang in garbled:
             flags.append(flag("digit_one", field, F.lit(""), rules.one_for_and(said)))
-        claims = F.filter(rules.claimed_sources(said, lang), lambda n: (n > real) & (n <= rules.MOST_SOURCES))
+        claims = F.filter(F.col(f"_claims_{field}"), lambda n: (n > real) & (n <= rules.MOST_SOURCES))
         flags.append(flag("paper_count", field, joined(claims), F.size(claims) > 0))
         wrong = F.col(f"_wrong_{field}")
         flags.append(flag("nationality", field, F.array_join(F.transform(wrong, lambda w: F.concat(w["label"], F.lit(": "), F.array_join(w["wrong"], ", "))), "; "), F.size(wrong) > 0))
     framed = framing.framing_conflict({lang: F.col(f) for f, lang in fields.items()}, papers, country_of)
     flags.append(flag("framing", "", joined(framed), F.size(framed) > 0))
     checked = sections.withColumns({f"_wrong_{f}": framing.nationality_conflicts(country_of, lang)(f) for f, lang in fields.items()})
+    checked = checked.withColumns({f"_defects_{f}": rules.text_defects(F.col(f), allowed, scripts, (expected or {}).get(lang)) for f, lang in fields.items()})
+    checked = checked.withColumns({f"_claims_{f}": rules.claimed_sources(F.col(f), lang) for f, lang in fields.items()})
+    checked = checked.withColumns({f"_tells_{f}": rules.tells(F.col(f), (tells or {}).get(lang, ())) for f, lang in fields.items() if (tells or {}).get(lang)})
     return checked.select(key, F.explode(F.flatten(F.array(*flags))).alias("_f")).select(key, "_f.kind", "_f.field", "_f.detail")

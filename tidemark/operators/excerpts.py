@@ -44,7 +44,7 @@ def passages_found(texts: DataFrame, key: str, text: str, passages: DataFrame, p
     anchored = held.where(F.size("_w") >= ANCHOR + 2).select(passage_key, "_p", F.xxhash64(*[F.get("_w", F.lit(k + 1)) for k in range(ANCHOR)]).alias("_run"))
     short = held.where(F.size("_w") < ANCHOR + 2).select(passage_key, "_p")
     cut = texts.select(F.col(key), F.split(F.col(text), " ", -1).alias("_t")).where(F.size("_t") >= ANCHOR)
-    met = cut.select(key, F.explode(F.array_distinct(runs(F.col("_t")))).alias("_run")).join(anchored.select(passage_key, "_run"), "_run").select(key, passage_key).distinct()
+    met = cut.select(key, F.explode(F.array_distinct(rules.once(F.col("_t"), runs))).alias("_run")).join(anchored.select(passage_key, "_run"), "_run").select(key, passage_key).distinct()
     whole = texts.select(F.col(key), F.col(text).alias("_text"))
     found = met.join(whole, key).join(anchored.select(passage_key, "_p"), passage_key).where(F.contains("_text", "_p")).select(key, passage_key)
     rest = whole.crossJoin(short).where(F.contains("_text", "_p")).select(key, passage_key)

@@ -223,16 +223,17 @@ def x28(spark, d):
 
 
 @query("x29_section_audit", r"""
-with f as (
-    select doc_id, 'foreign_chars' as kind from documents where regexp_matches(text, '[^\x00-\x7FÀ-ÿ]')
-    union all select doc_id, 'mixed_script' from documents where len([w for w in regexp_extract_all(text, '[\p{L}\p{M}]+') if regexp_matches(w, '[éè]') and regexp_matches(w, '[A-Z]')]) > 0
-    union all select doc_id, 'tag_fragment' from documents where regexp_matches(text, '</?[A-Za-z_]')
-    union all select doc_id, 'low_script_ratio' from documents where lang = 'en' and length(regexp_replace(text, '[^\p{L}]', '', 'g')) >= 40 and length(regexp_replace(text, '[^a-m]', '', 'g')) / length(regexp_replace(text, '[^\p{L}]', '', 'g')) < 0.35
-    union all select doc_id, 'name_tell' from documents where contains(text, '!!') or contains(text, '###')
-    union all select doc_id, 'digit_one' from documents where regexp_matches(text, '[a-z]-1[ \x{00A0}][A-Z]|[a-z][ \x{00A0}]1-[A-Z]')
-    union all select doc_id, 'paper_count' from documents where doc_id % 5 = 0
-    union all select doc_id, 'nationality' from documents where doc_id % 5 = 1
-    union all select doc_id, 'framing' from documents where doc_id % 5 = 2)
+with t as (select doc_id, lang, case doc_id % 5 when 0 then 'Four newspapers report. ' when 1 then 'British papers such as Los Angeles Times agree. ' when 2 then 'Coverage divides along national lines. ' else '' end || coalesce(text, '') as text from documents),
+f as (
+    select doc_id, 'foreign_chars' as kind from t where regexp_matches(text, '[^\x00-\x7FÀ-ÿ]')
+    union all select doc_id, 'mixed_script' from t where len([w for w in regexp_extract_all(text, '[\p{L}\p{M}]+') if regexp_matches(w, '[éè]') and regexp_matches(w, '[A-Z]')]) > 0
+    union all select doc_id, 'tag_fragment' from t where regexp_matches(text, '</?[A-Za-z_]')
+    union all select doc_id, 'low_script_ratio' from t where lang = 'en' and length(regexp_replace(text, '[^\p{L}]', '', 'g')) >= 40 and length(regexp_replace(text, '[^a-m]', '', 'g')) / length(regexp_replace(text, '[^\p{L}]', '', 'g')) < 0.35
+    union all select doc_id, 'name_tell' from t where contains(text, '!!') or contains(text, '###')
+    union all select doc_id, 'digit_one' from t where regexp_matches(text, '[a-z]-1[ \x{00A0}][A-Z]|[a-z][ \x{00A0}]1-[A-Z]')
+    union all select doc_id, 'paper_count' from t where doc_id % 5 = 0
+    union all select doc_id, 'nationality' from t where doc_id % 5 = 1
+    union all select doc_id, 'framing' from t where doc_id % 5 = 2)
 select doc_id, kind, case when kind = 'framing' then '' else 'said' end as field from f""")
 def x29(spark, d):
     # every fifth text has a sentence before it that one of the last three checks finds
