@@ -25,6 +25,8 @@ GAPS = (1, 2, 3)
 #: Longer words also count by their first bytes, so that a stem is known with any ending.
 HEAD = 5
 THRESHOLD = 0.3
+#: Files of the stored sample.
+FILES = 16
 
 
 def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +139,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", te
     sample, counts = labelled(docs, labels, label, MOST, 3, text)
     folder = fresh_folder(spark, "toxicity-sample")
     rows = sample.mapInArrow(_rows, "doc_id long, y int, buckets binary")
-    rows.orderBy(F.xxhash64("doc_id", F.lit(9)), "doc_id", "buckets").write.parquet(folder)
+    # ranges are drawn by narrow columns only: what is sampled for them goes to the driver
+    keys = ["place", "doc_id", "tie"]
+    rows = rows.withColumns({"place": F.xxhash64("doc_id", F.lit(9)), "tie": F.xxhash64("buckets")}).repartitionByRange(FILES, *keys)
+    rows.sortWithinPartitions(*keys, "buckets").select("doc_id", "y", "buckets").write.parquet(folder)
     drawn = {0: 0, 1: 0} | {r["y"]: r["n"] for r in spark.read.schema("y int").parquet(folder).groupBy("y").agg(F.count("*").alias("n")).collect()}
     if all(drawn.values()):
         learned = spark.range(0, 1, 1, 1).mapInArrow(_learner(folder), "bucket long, weight double").toArrow()
