@@ -1,6 +1,7 @@
 """The text operators against the libraries and brute force, on awkward tables too."""
 
 import hashlib
+import math
 import random
 import re
 import string
@@ -11,9 +12,11 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm import mixing, queries, tokenfiles
+from tidemark.llm import bytebpe, language, mixing, quality, queries, shards, tokenfiles, toxicity
+from tidemark.llm.bytebpe import WordEncoder
 from tidemark.llm.language import languages
 from tidemark.llm.neardup import _block_links, _signatures, near_duplicates
 from tidemark.llm.piecebpe import PrefixTable, encode_pieces
@@ -261,6 +264,146 @@ def test_token_counts_query(spark):
     assert {r.doc_id: r.n_tokens for r in queries.op8_token_counts(spark, SMALL).collect()} == wanted
 
 
+def test_words_around_rare_white_space_are_the_librarys():
+    """Cuts around every kind of white space give what the library gives for the whole text, and nothing long is remembered."""
+    random.seed(5)
+    t = Tokenizer.from_file(BYTES)
+    with open(BYTES, encoding="utf-8") as f:
+        e = WordEncoder(f.read(), True)
+    kinds = "ab c \n\t\r\x0b\x0c\x1c\x1f\x85\xa0\u1680\u2003\u200b\u2028\u2029\u202f\u205f\u3000\ufeff\u00e91'!.,\u6f22\0"
+    for _ in range(20_000):
+        said = "".join(random.choice(kinds) for _ in range(random.randint(1, 14)))
+        assert np.frombuffer(e.encode([said])[0], e.dtype).tolist() == t.encode(said, add_special_tokens=False).ids, repr(said)
+    e.words.clear()
+    long = "\u6f22" * 200_000
+    assert np.frombuffer(e.encode([long])[0], e.dtype).tolist() == t.encode(long, add_special_tokens=False).ids
+    e.encode([f"word{i} and\xa0blank" + " x" * 1000 for i in range(5)])
+    assert max(map(len, e.words)) <= 64
+
+
+def test_remembered_words_take_bounded_room(monkeypatch):
+    monkeypatch.setattr(bytebpe, "ROOM", 50_000)
+    kept = bytebpe.Remembered(lambda w: w.encode())
+    assert all(kept[str(i)] == str(i).encode() for i in range(5000))
+    assert len(kept) < 250 and len(kept["y" * 65]) == 65 and "y" * 65 not in kept
+
+
+def test_token_files_are_the_same_when_written_again(spark):
+    """Rows with one doc_id or without, in another input order: byte-identical shards."""
+    rows = [(i % 3 if i % 4 else None, f"text number {i * 7 % 50}", "en", "a") for i in range(200)]
+    contents = []
+    for some in (rows, rows[::-1]):
+        folder = fresh_folder(spark, "test-token-files")
+        tokenfiles.write_token_files(table(spark, some).repartition(3), BYTES, 2, folder).count()
+        contents.append({n: shards.read_range(folder, n, 0, size) for n, size in shards.sizes(folder, ".tids")})
+    assert contents[0] == contents[1] and contents[0]
+
+
+def test_ftrl_is_the_plain_rule():
+    """Against dictionaries and one coordinate at a time."""
+    random.seed(9)
+    examples = [(np.unique(np.array([*([7] if y else [9]), *random.sample(range(10, 40), 6)], np.int32)), y) for y in (0, 1) * 40]
+    z, n = Counter(), Counter()
+
+    def weight(k):
+        if abs(z[k]) <= toxicity.L1:
+            return 0.0
+        return -(z[k] - math.copysign(toxicity.L1, z[k])) / ((toxicity.BETA + math.sqrt(n[k])) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.PASSES):
+        for own, y in examples:
+            at = [*own.tolist(), "bias"]
+            w = {k: weight(k) for k in at}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - y
+            for k in at:
+                z[k] += g - (math.sqrt(n[k] + g * g) - math.sqrt(n[k])) / toxicity.ALPHA * w[k]
+                n[k] += g * g
+    found, bias = ftrl(examples, 40)
+    assert abs(bias - weight("bias")) < 1e-9 and all(abs(found[k] - weight(k)) < 1e-9 for k in range(40)) and any(found)
+
+
+def test_toxicity_scores_by_brute_force(spark):
+    """The whole query on a small table: each text's features apart, learned in the order of the stored sample."""
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    order = {r.doc_id: r.o for r in docs.select("doc_id", F.xxhash64("doc_id", F.lit(9)).alias("o")).collect()}
+    said = {i: np.unique(toxicity.features([t])[0]) for i, t in texts(docs)}
+    marked = {r.doc_id: r.toxic for r in labels.collect() if r.toxic is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2 and r.doc_id in said}
+    w, bias = ftrl([(said[i], marked[i]) for i in sorted(marked, key=lambda i: (order[i], i))])
+    for r in toxicity_scores(docs, labels).collect():
+        total = sum(np.float32(w[b]) for b in said[r.doc_id]) + bias
+        assert abs(r.score - 1 / (1 + math.exp(-max(-35, min(35, total))))) < 1e-5, r
+
+
+def test_language_fit_is_kernel_ridge_regression():
+    """Folded weights against kernels of sets, the landmarks' inverse root and the ridge's normal equations."""
+    rng = np.random.default_rng(2)
+    examples = [(np.unique(rng.choice(np.arange(k * 40, k * 40 + 120), 30)).astype(np.int32), "abc"[k]) for k in (0, 1, 2) * 30]
+    marks = [g for c in "abc" for g in [g for g, y in examples if y == c][: language.LANDMARKS // 3]]
+    kernel = lambda x, y: len(set(x.tolist()) & set(y.tolist())) / math.sqrt(len(x) * len(y))
+    k = np.array([[kernel(a, b) for b in marks] for a in marks])
+    values, axes = np.linalg.eigh(k)
+    good = values > 1e-8 * values[-1]
+    x = np.array([[kernel(g, m) for m in marks] for g, _ in examples]) @ (axes[:, good] / np.sqrt(values[good]))
+    y = np.array([[1.0 if c == own else -1.0 for c in "abc"] for _, own in examples])
+    wanted = x @ np.linalg.solve(x.T @ x + language.RIDGE * np.eye(x.shape[1]), x.T @ y)
+    known, weights = language.fit(examples, list("abc"))
+    at = {int(g): i for i, g in enumerate(known)}
+    found = np.array([sum(weights[at[int(g)]] for g in own) / math.sqrt(len(own)) for own, _ in examples])
+    assert np.abs(found - wanted).max() < 2e-3 and (found.argmax(1) == y.argmax(1)).mean() > 0.95
+
+
+def test_languages_of_other_scripts(spark):
+    """Two languages in Cyrillic letters and two in Arabic ones, and very many empty texts."""
+    random.seed(3)
+    words = {"ru": "что это как они было все время человек который сказал очень город ещё первый", "uk": "що це як вони було всі час людина який сказав дуже місто ще перший", "fa": "این است که را با از برای یک خود می کند گفت پس چه", "ar": "هذا هو الذي في على من إلى كان وقد قال أن كل بعد ما"}
+    rows = [(i, " ".join(random.choice(words[lang].split()) for _ in range(25)), lang, "s") for i, lang in enumerate(list(words) * 60)]
+    blank = [(1000 + i, "", "ru", "s") for i in range(5000)]
+    got = {r.doc_id: r for r in languages(table(spark, rows + blank)).collect()}
+    held = [(r[2], got[r[0]].lang_pred) for r in rows if got[r[0]].held_out]
+    assert len(held) > 20 and np.mean([a == b for a, b in held]) > 0.95
+    assert all(got[i].lang_pred == "und" for i, _, _, _ in blank)
+
+
+def test_positive_unlabelled_risk_is_least():
+    """A plain sum of losses over rows: no small step from the fitted weights lowers it."""
+    rng = np.random.default_rng(5)
+    p, u, prior = rng.normal(0, 1, (200, 3)), np.concatenate([rng.normal(0, 1, (200, 3)), rng.normal(3, 1, (150, 3))]), 0.55
+    low, high, w = fit(p, u, prior)
+    loss = lambda t: math.log1p(math.exp(-t)) if t > -35 else -t
+
+    def risk(w):
+        gp, gu = (quality._expanded(x, low, high) @ w for x in (p, u))
+        toward = prior * sum(loss(t) for t in gp) / len(gp)
+        against = sum(loss(-t) for t in gu) / len(gu) - prior * sum(loss(-t) for t in gp) / len(gp)
+        return toward + max(0.0, against) + quality.DECAY / 2 * float(w @ w)
+
+    least = risk(w)
+    assert least < risk(np.zeros_like(w)) and all(risk(w + rng.normal(0, 0.05, len(w))) > least - 1e-3 for _ in range(60))
+
+
+def test_prior_from_positives_and_unlabelled(spark):
+    rng = np.random.default_rng(6)
+    p = rng.normal(0, 1, (3000, 4))
+    u = np.concatenate([rng.normal(0, 1, (2000, 4)), rng.normal(6, 1, (2000, 4))])
+    assert abs(quality.estimated_prior(p, u) - 0.5) < 0.07
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    assert quality_scores(docs, labels.where("quality = 1")).where("score between 0 and 1").count() == docs.count()
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    """Different texts under one doc_id link what each of them is linked with, in one partition and in many."""
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(5, a), (5, b), (3, b), (7, a), (9, "alone here"), (None, a)]
+    for width in (1, 40):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        try:
+            spark.conf.set("spark.sql.shuffle.partitions", width)
+            got = sorted((r.doc_id or 0, r.component_id) for r in near_duplicates(table(spark, [(i, t, "en", "a") for i, t in rows])).collect())
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        assert got == [(0, 3), (3, 3), (5, 3), (5, 3), (7, 3), (9, 9)]
+
+
 def test_ftrl_learns_and_is_sparse():
     random.seed(4)
     examples = [(np.unique(np.array([7 if y else 9, *random.sample(range(100, 5000), 30)], np.int32)), y) for y in (0, 1) * 400]

@@ -89,10 +89,10 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[np.
 
 
 def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """The share of positives among unlabelled rows, from these two samples alone: the least ratio, over thresholds with a twentieth of the positives above, of the unlabelled share above to the positive one, by the score of a plain positive-against-unlabelled fit."""
+    """The share of positives among unlabelled rows, from these two samples alone: the least ratio, over thresholds with a fifth of the positives above, of the unlabelled share above to the positive one, by the score of a plain positive-against-unlabelled fit."""
     low, high, w = fit(positive, unlabelled, 0.5)
     p, u = (np.sort(_expanded(x, low, high) @ w)[::-1] for x in (positive, unlabelled))
-    above = np.arange(max(1, len(p) // 20), len(p) + 1)
+    above = np.arange(max(1, len(p) // 5), len(p) + 1)
     share = np.searchsorted(-u, -p[above - 1], "right") / len(u)
     return float(np.min(share / (above / len(p))))
 
