@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes that a Python worker's remembered words may take, about what an entry takes beside its characters, and the longest word to remember.
-ROOM, ENTRY, LONGEST = 96 << 20, 240, 64
+ROOM, ENTRY, LONGEST = 192 << 20, 190, 64
 #: White space as the library's pre-tokeniser knows it: the usual kinds, and what there is beyond ASCII.
 _BEYOND = "\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _BLANK = "\t-\r " + _BEYOND
@@ -46,10 +46,11 @@ class Remembered(dict):
     def __missing__(self, word: str) -> bytes:
         found = self.learn(word)
         if len(word) <= LONGEST:
-            self.room -= ENTRY + 4 * len(word) + len(found)
+            takes = ENTRY + len(found) + (len(word) if word.isascii() else 4 * len(word))
+            self.room -= takes
             if self.room < 0:
                 self.clear()
-                self.room = ROOM - ENTRY - 4 * len(word) - len(found)
+                self.room = ROOM - takes
             self[word] = found
         return found
 
@@ -73,7 +74,7 @@ class WordEncoder:
         said = json.loads(spec)
         literals = [t["content"] for t in said.get("added_tokens") or [] if t["content"]] if added else []
         #: What sends a text to the library whole.
-        self.added = re.compile("|".join(map(re.escape, literals))) if literals else None
+        self.added = literals
         before = said.get("pre_tokenizer") or {}
         #: Byte-level BPE on the usual words: cuts at white space change nothing there, and a word of letters is one unit of the model.
         self.by_word = not said.get("normalizer") and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
@@ -95,7 +96,7 @@ class WordEncoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         get = self.words.__getitem__
         whole = lambda t: self.ids(self.tokenizer.encode(t, add_special_tokens=False).ids)
-        return [whole(t) if t and self.added and self.added.search(t) else b"".join(map(get, cut(t) if self.by_word else [t])) if t else b"" for t in texts]
+        return [whole(t) if t and any(a in t for a in self.added) else b"".join(map(get, cut(t) if self.by_word else [t])) if t else b"" for t in texts]
 
 
 def id_type(size: int) -> np.dtype:
