@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import mixing
@@ -12,7 +11,8 @@ from tidemark.llm.language import languages
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.piecebpe import encode_pieces
 from tidemark.llm.quality import quality_scores
-from tidemark.llm.store import fresh_folder, settled
+from tidemark.llm.rows import numbered
+from tidemark.llm.store import fresh_folder
 
 #: A language is accepted from this score on: below it the two best are all but tied. A document's quality from that one on.
 LEAST_LANGUAGE, LEAST_QUALITY = 0.51, 0.5
@@ -34,29 +34,17 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return _restored(scored.where(F.col("score") >= LEAST_QUALITY), docs)
 
 
-def _numbered(docs: DataFrame, row: str) -> DataFrame:
-    """docs with a number of each row that is the same whenever it is read: the file's place among all paths, and the row's place in it. What isn't read from Parquet files is written once."""
-    try:
-        meta = docs.metadataColumn("_metadata")
-        placed = docs.select("*", meta["file_path"].alias("_path"), meta["row_index"].alias("_at"))
-    except AnalysisException:
-        return settled(docs.withColumn(row, F.monotonically_increasing_id()))
-    # a row for each file, all of which the driver has listed to read docs
-    files = placed.select("_path").distinct().withColumn("_file", F.row_number().over(Window.orderBy("_path")))
-    return placed.join(F.broadcast(files), "_path").select(*docs.columns, F.shiftleft(F.col("_file").cast("long"), 40).bitwiseOR(F.col("_at")).alias(row))
-
-
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group of near copies the document with the smallest doc_id. Rows without doc_id come last, and ties are decided by the text's hash.
 
     Every row is a document: rows without doc_id, or with one that others have too, are kept if their texts are no near copies.
     """
     row = next(c for c in ("_row", "_row_number", "_row_of_stage") if c not in docs.columns)
-    numbered = _numbered(docs, row)
-    found = near_duplicates(numbered, doc_id=row).select(F.col("doc_id").alias(row), F.col("component_id").alias("_group"))
+    rows = numbered(docs, row)
+    found = near_duplicates(rows, doc_id=row).select(F.col("doc_id").alias(row), F.col("component_id").alias("_group"))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64("text").alias("text"), F.col(row).alias("row"))
-    first = numbered.select(row, place.alias("_place")).join(found, row).groupBy("_group").agg(F.min("_place").alias("_first"))
-    return numbered.join(first.select(F.col("_first.row").alias(row)), row, "left_semi").select(*docs.columns)
+    first = rows.select(row, place.alias("_place")).join(found, row).groupBy("_group").agg(F.min("_place").alias("_first"))
+    return rows.join(first.select(F.col("_first.row").alias(row)), row, "left_semi").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

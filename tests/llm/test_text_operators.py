@@ -478,3 +478,37 @@ def test_mixing_matches_sql(spark, duck):
     df = queries.op9_mixing(spark, SMALL)
     columns = sorted(df.columns)
     assert as_rows(tuple(r[c] for c in columns) for r in df.collect()) == as_rows(duck.sql(queries.SQL["op9_mixing"]).project(", ".join(columns)).fetchall())
+
+
+def test_filter_audit_by_brute_force(spark, awkward, empty):
+    """Every order and step by going through the filters one after the other, on awkward rows too."""
+    from itertools import permutations
+
+    from tidemark.llm.filteraudit import filter_audit
+
+    labels = spark.createDataFrame([(4, 1, 0), (4, 0, 1), (5, 0, 0), (6, 1, None), (12, None, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    known = {4: (1, 1), 5: (0, 0), 6: (1, 0), 12: (0, 1)}
+    more = awkward.union(table(spark, [(20, "", None, "a"), (21, "A#" * 9, None, None), (22, "w " * 300, None, "a")]))
+    docs = [(r.doc_id, r.text or "", r.source or "") for r in more.collect()]
+
+    def fails(i, t):
+        words = re.findall(r"[^\x20\x09-\x0D]+", t)
+        marks = {"A": len(words) < 200, "B": 100 * len(set(words)) < 50 * len(words), "C": 100 * len(re.findall("[A-Z]", t)) > 2 * len(t), "D": bool(re.search(r"[#$%&*|]", t))}
+        return {k for k, v in marks.items() if v} | ({"E"} if i is not None and any(j is not None and j < i and u == t for j, u, _ in docs) else set())
+
+    wanted = {}
+    for part in {p for _, _, p in docs}:
+        own = [(fails(i, t), *known.get(i, (0, 0))) for i, t, p in docs if p == part]
+        for order in map("".join, permutations("ABCDE")):
+            left = list(own)
+            for k, f in enumerate(order):
+                out = [r for r in left if f in r[0]]
+                failing = sum(f in r[0] for r in own)
+                left = [r for r in left if f not in r[0]]
+                wanted[part, order, k + 1] = [len(left), len(out), failing - len(out), sum(r[0] == {f} for r in own), sum(r[1] for r in out), sum(r[2] for r in out)]
+        for order in map("".join, permutations("ABCDE")):
+            for k, f in enumerate(order):
+                wanted[part, order, k + 1].append(sum(wanted[part, o, o.index(f) + 1][1] for o in map("".join, permutations("ABCDE"))))
+    found = {(r.part, r.filter_order, r.step): [r.kept, r.removed, r.redundant, r.unique_fails, r.good_lost, r.toxic_lost, r.shapley] for r in filter_audit(more, labels).collect()}
+    assert found == wanted
+    assert filter_audit(empty, labels).count() == 0

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import mixing, tokenfiles, vectors
+from tidemark.llm.filteraudit import filter_audit
 from tidemark.llm.language import languages
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.piecebpe import encode_pieces
@@ -70,6 +71,10 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -81,6 +86,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_mixing": op9_mixing,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 SQL = {
@@ -136,4 +142,37 @@ with docs as (
 select doc_id, size, source_size, target, cast(greatest(first_words, 0) + greatest(second_words, 0) as bigint) as taken,
        case when first_words > 0 then round(position, 6) end as first_position
 from timed""",
+    "op11_filter_audit": r"""
+with docs as (
+    select doc_id, coalesce(source, '') as part, coalesce(text, '') as t from documents
+), words as (
+    select *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as w, min(doc_id) over (partition by t) as first from docs
+), known as (
+    select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic from labels group by doc_id
+), flags as (
+    select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+           case when len(w) < 200 then 1 else 0 end + case when 100 * len(list_distinct(w)) < 50 * len(w) then 2 else 0 end
+           + case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) then 4 else 0 end
+           + case when regexp_matches(t, '[#$%&*|]') then 8 else 0 end + case when words.doc_id > first then 16 else 0 end as mask
+    from words left join known on words.doc_id = known.doc_id
+), cells as (
+    select part, mask, count(*) as n, sum(good) as good, sum(toxic) as toxic from flags group by part, mask
+), letters as (
+    select unnest(['A', 'B', 'C', 'D', 'E']) as l, unnest([1, 2, 4, 8, 16]) as bit
+), orders as (
+    select a.l || b.l || c.l || d.l || e.l as filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] as bits
+    from letters a, letters b, letters c, letters d, letters e
+    where a.bit + b.bit + c.bit + d.bit + e.bit = 31 and len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5
+), steps as (
+    select filter_order, cast(k as integer) as step, bits[k] as bit, coalesce(list_sum(bits[1 : k - 1]), 0)::integer as before from orders, range(1, 6) as t(k)
+)
+select part, filter_order, step,
+       cast(sum(case when mask & (before | bit) = 0 then n else 0 end) as bigint) as kept,
+       cast(sum(case when mask & bit != 0 and mask & before = 0 then n else 0 end) as bigint) as removed,
+       cast(sum(case when mask & bit != 0 and mask & before != 0 then n else 0 end) as bigint) as redundant,
+       cast(sum(case when mask = bit then n else 0 end) as bigint) as unique_fails,
+       cast(sum(case when mask & bit != 0 and mask & before = 0 then good else 0 end) as bigint) as good_lost,
+       cast(sum(case when mask & bit != 0 and mask & before = 0 then toxic else 0 end) as bigint) as toxic_lost,
+       cast(sum(case when mask & bit != 0 then n * 120 // bit_count(mask) else 0 end) as bigint) as shapley
+from cells, steps group by part, filter_order, step""",
 }
