@@ -17,6 +17,8 @@ SPACES, NO_UPPER, MARKS = r"[\x09-\x0D\x20]+", "[^A-Z]+", "[#$%&*|]"
 #: Words that a document needs, distinct words per hundred words, upper-case letters per hundred code points.
 LEAST_WORDS, LEAST_DISTINCT, MOST_UPPER = 200, 50, 2
 CELLS = 1 << len(FILTERS)
+#: Parts that the copies of one text are dealt to.
+SALTS = 16
 
 
 def word_totals(docs: DataFrame, row: str, text: str) -> DataFrame:
@@ -46,9 +48,12 @@ def failures(docs: DataFrame, labels: DataFrame, text: str = "text", source: str
             (_bit(100 * upper > MOST_UPPER * F.length("text").cast("long"), "C") + _bit(F.col("text").rlike(MARKS), "D")).alias("of_text"),
         )
     )
-    firsts = flags.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("key", "first")
+    firsts = flags.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    firsts = firsts.select("key", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     known = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col("quality") == 1).cast("int")).alias("good"), F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
-    joined = flags.join(word_totals(own, "row", "text"), "row", "left").join(firsts, "key", "left").join(known, "doc_id", "left")
+    # one text may have a third of all rows
+    flags = flags.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
+    joined = flags.join(word_totals(own, "row", "text"), "row", "left").join(firsts, ["key", "salt"], "left").join(known, "doc_id", "left")
     words, distinct = (F.coalesce(c, F.lit(0)) for c in ("words", "distinct_words"))
     mask = F.col("of_text") + _bit(words < LEAST_WORDS, "A") + _bit(100 * distinct < LEAST_DISTINCT * words, "B") + _bit(F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)), "E")
     return joined.select("part", mask.alias("mask"), *[F.coalesce(F.col(c) == 1, F.lit(False)).alias(c) for c in ("good", "toxic")])

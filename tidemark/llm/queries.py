@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from tidemark.llm import mixing, tokenfiles, vectors
 from tidemark.llm.filteraudit import filter_audit
 from tidemark.llm.language import languages
+from tidemark.llm.lexical import ranked_search
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.piecebpe import encode_pieces
 from tidemark.llm.quality import quality_scores
+from tidemark.llm.secrets import secret_spans
 from tidemark.llm.store import fresh_folder
 from tidemark.llm.toxicity import toxicity_scores
 
@@ -75,6 +77,18 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_spans(_table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"] != "crf")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -87,6 +101,8 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
     "op11_filter_audit": op11_filter_audit,
+    "op12_secret_scan": op12_secret_scan,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 SQL = {
@@ -175,4 +191,29 @@ select part, filter_order, step,
        cast(sum(case when mask & bit != 0 and mask & before = 0 then toxic else 0 end) as bigint) as toxic_lost,
        cast(sum(case when mask & bit != 0 then n * 120 // bit_count(mask) else 0 end) as bigint) as shapley
 from cells, steps group by part, filter_order, step""",
+    "op13_ranked_search": r"""
+with terms as (
+    select row, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from (select row_number() over () as row, doc_id, text from documents)
+), sizes as (
+    select row, doc_id, count(*) as n from terms group by row, doc_id
+), everything as (
+    select count(*) as docs, cast(sum(n) as bigint) as words from sizes
+), counted as (
+    select row, term, count(*) as tf from terms group by row, term
+), weights as (
+    select term, cast(floor(1000 * ln(cast(2 * docs + 2 as double) / cast(2 * df + 1 as double))) as bigint) as w
+    from (select term, count(*) as df from counted group by term), everything
+), lengths as (
+    select row, doc_id, 100 - 50 + (50 * n * docs) // words as m from sizes, everything
+), wanted as (
+    select distinct item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from benchmark
+), scored as (
+    select item_id, row, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) as bigint) as score
+    from wanted join counted using (term) join weights using (term) join lengths using (row) group by item_id, row, doc_id
+), placed as (
+    select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank, doc_id, score from scored where score > 0
+)
+select item_id, rank, doc_id, score from placed where rank <= 50""",
 }
