@@ -512,3 +512,25 @@ def test_filter_audit_by_brute_force(spark, awkward, empty):
     found = {(r.part, r.filter_order, r.step): [r.kept, r.removed, r.redundant, r.unique_fails, r.good_lost, r.toxic_lost, r.shapley] for r in filter_audit(more, labels).collect()}
     assert found == wanted
     assert filter_audit(empty, labels).count() == 0
+
+
+def test_samples_of_repeated_ids(spark, monkeypatch):
+    """Rows that share one doc_id are drawn each for itself: bounds hold, and there is something to learn from."""
+    from tidemark.llm import sampling
+
+    monkeypatch.setattr(language, "MOST", 200)
+    monkeypatch.setattr(toxicity, "MOST", 100)
+    monkeypatch.setattr(quality, "MOST", 100)
+    english, german = "the house and the tree", "der Baum und das Haus"
+    for one_id in (1, 3, 7):
+        docs = table(spark, [(one_id, f"{english if i % 2 else german} {i}", "en" if i % 2 else "de", "a") for i in range(3000)])
+        own = spark.createDataFrame([(one_id, 1)], "doc_id long, toxic int")
+        rows, counts = sampling.labelled(docs, own, "toxic", 100, 3)
+        assert counts in ({1: 3000}, {}) and rows.count() <= 160 and (rows.count() > 50) == bool(counts)
+        learned, classes = language.language_model(docs)
+        assert classes == (["de", "en"] if zlib.crc32(str(one_id).encode()) % 5 else [])
+        if classes:
+            preds = languages(docs, keep=["lang"]).collect()
+            assert all(r.lang_pred == r.kept_lang for r in preds)
+        drawn = docs.sparkSession.createDataFrame([(one_id, 1)], "doc_id long, quality int")
+        assert quality_scores(docs, drawn).count() == 3000

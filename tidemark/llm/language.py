@@ -9,11 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.rows import numbered
 from tidemark.llm.sampling import carried, drawn, remainder, schema
 from tidemark.llm.textcore import pieces
 
-#: Documents to learn from at most, landmarks among them, strength of the ridge, steepness of the score.
-MOST, LANDMARKS, RIDGE, STEEP = 6000, 256, 1e-2, 4.0
+#: Documents to learn from at most, landmarks among them, languages (the most frequent ones), strength of the ridge, steepness of the score.
+MOST, LANDMARKS, CLASSES, RIDGE, STEEP = 6000, 256, 256, 1e-2, 4.0
 #: Cells of the matrix of texts and landmark grams that is multiplied at once.
 CELLS = 1 << 22
 #: Letters are numbers below 64: a-z by themselves, all others spread over the rest; 0 is what is no letter.
@@ -53,7 +54,7 @@ def _rows(batches):
     seen = np.zeros(GRAMS, bool)
     for batch in batches:
         own = [grams(t, seen).tobytes() for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(own, pa.binary())], ["doc_id", "lang", "grams"])
+        yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("lang"), pa.array(own, pa.binary())], ["row", "lang", "grams"])
 
 
 def fit(examples: list[tuple[np.ndarray, str]], classes: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -121,14 +122,18 @@ def _scorer(model, classes: list[str], kept: list[str]):
 
 
 def language_model(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[tuple[np.ndarray, np.ndarray], list[str]]:
-    """Grams, weights and classes, learned from at most about 6000 documents, as many of each language as there are, drawn by hash among rows with lang and crc32(doc_id) mod 5 != 0."""
-    usable = docs.where(F.col(lang).isNotNull() & (remainder(F.col("doc_id"), 5) != 0)).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    take = F.lit(False)
-    for c, n in counts.items():
-        take = take | ((F.col("lang") == c) & drawn(min(1.0, MOST / len(counts) / n), F.col("doc_id"), 6))
-    rows = usable.where(take).mapInArrow(_rows, "doc_id long, lang string, grams binary").collect()
-    rows.sort(key=lambda r: ((r["doc_id"] or 0) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF, r["grams"]))
+    """Grams, weights and classes, learned from at most about 6000 documents, as many of each of the 256 most frequent languages as there are, drawn by a hash of the row among rows with lang and crc32(doc_id) mod 5 != 0.
+
+    Rows that share a doc_id are drawn each for itself, so the bound holds whatever the ids are.
+    """
+    own = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")), "row")
+    usable = own.where(F.col("lang").isNotNull() & (remainder(F.col("doc_id"), 5) != 0))
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(CLASSES).collect()
+    if not counts:
+        return (np.zeros(0, np.int32), np.zeros((0, 1), np.float32)), []
+    share = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], min(1.0, MOST / len(counts) / r["n"]))])
+    rows = usable.where(drawn(F.coalesce(share[F.col("lang")], F.lit(-1.0)), F.col("row"), 6)).mapInArrow(_rows, "row long, lang string, grams binary").collect()
+    rows.sort(key=lambda r: (r["row"] * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF, r["grams"]))
     examples = [(np.frombuffer(r["grams"], np.int32), r["lang"]) for r in rows if r["grams"]]
     classes = sorted({y for _, y in examples})
     if not classes:

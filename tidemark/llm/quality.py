@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.rows import numbered
 from tidemark.llm.sampling import carried, drawn, labelled, remainder, schema
 from tidemark.llm.textcore import Words, pieces
 
@@ -126,20 +127,16 @@ def _scorer(model, kept: list[str]):
 def quality_model(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Scaling and weights, learned from at most about 12,000 trusted positives (learning rows that are labelled 1) and as many unlabelled documents.
 
-    The class prior is estimated: the share of 1 among all labelled learning rows, or, if none of them is labelled 0, estimated_prior().
-    Unlabelled documents are drawn by hash from the whole table.
+    Labels of 0 are not looked at: the class prior is estimated_prior(), from positives and unlabelled documents alone. Both are drawn by a hash of the
+    row, unlabelled ones from the whole table, so that rows that share a doc_id are drawn each for itself.
     """
-    positives, counts = labelled(docs, labels.where(f"{label} = 1"), label, MOST, 4, text)
-    usable = labels.where(F.col(label).isin(0, 1) & (remainder(F.col("doc_id"), 4) != 2))
-    prior = usable.agg(F.avg(F.col(label).cast("double"))).first()[0]
-    total = docs.count()
-    unlabelled = docs.where(F.col("doc_id").isNotNull() & drawn(min(1.0, MOST / max(total, 1)), F.col("doc_id").cast("long"), 5)).select(F.col(text).alias("text"))
+    positives, _ = labelled(docs, labels.where(f"{label} = 1"), label, MOST, 4, text)
+    own = numbered(docs.select(F.col(text).alias("text")), "row")
+    unlabelled = own.where(drawn(min(1.0, MOST / max(docs.count(), 1)), F.col("row"), 5))
     p, u = _sample(positives), _sample(unlabelled)
     if not len(p) or not len(u):
         return np.zeros(FEATURES), np.ones(FEATURES), np.append(np.zeros(3 * FEATURES), 35.0 if len(p) else 0.0)
-    if prior == 1:
-        prior = estimated_prior(p, u)
-    return fit(p, u, min(max(prior, 0.01), 0.99))
+    return fit(p, u, min(max(estimated_prior(p, u), 0.01), 0.99))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text", keep: Sequence[str] = ()) -> DataFrame:

@@ -50,11 +50,11 @@ def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 def _rows(batches):
     """Each sampled document's distinct buckets."""
     for batch in batches:
-        ids, texts, y = (batch.column(c) for c in ("doc_id", "text", "y"))
+        rows, ids, texts, y = (batch.column(c) for c in ("row", "doc_id", "text", "y"))
         for lo, hi in pieces(texts):
             bucket, of = features(texts.slice(lo, hi - lo).to_pylist())
             own = [np.unique(bucket[of == i]).tobytes() for i in range(hi - lo)]
-            yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), y.slice(lo, hi - lo), pa.array(own, pa.binary())], ["doc_id", "y", "buckets"])
+            yield pa.RecordBatch.from_arrays([rows.slice(lo, hi - lo), ids.slice(lo, hi - lo), y.slice(lo, hi - lo), pa.array(own, pa.binary())], ["row", "doc_id", "y", "buckets"])
 
 
 class Stored:
@@ -126,23 +126,23 @@ def _scorer(model, kept: list[str]):
 def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """One row per row of docs: doc_id, held_out, score (0 to 1), predicted (score >= 0.3) and the columns named in keep, as kept_<name>.
 
-    Learned from at most about 5000 documents of each class, drawn by hash among learning rows. Their distinct
-    hashed features are written to the shared folder in an order set by a hash of doc_id, and one task runs FTRL over
+    Learned from at most about 5000 documents of each class, drawn by a hash of the row among learning rows, so that rows that share a doc_id are drawn each for itself. Their distinct
+    hashed features are written to the shared folder in an order set by a hash of doc_id, then the row, and one task runs FTRL over
     them, a few documents in memory at a time; the driver gets some thousand weights. As the classes are drawn
     apart, the intercept is shifted by the log-odds of their full sizes. The weights are
     broadcast; all whole texts are then scored in a map without a shuffle.
 
     Null and empty texts have no feature and get the intercept's score. Without labels of both classes every score is the known share of toxic rows (0 without any).
-    Repeated rows get a row each; in learning, rows with one doc_id are ordered by their features. Texts of any length count whole. Other columns of docs are ignored but for those in keep.
+    Repeated rows get a row each, also in learning. Texts of any length count whole. Other columns of docs are ignored but for those in keep.
     """
     spark = docs.sparkSession
     sample, counts = labelled(docs, labels, label, MOST, 3, text)
     folder = fresh_folder(spark, "toxicity-sample")
-    rows = sample.mapInArrow(_rows, "doc_id long, y int, buckets binary")
+    rows = sample.select("row", "doc_id", "text", "y").mapInArrow(_rows, "row long, doc_id long, y int, buckets binary")
     # ranges are drawn by narrow columns only: what is sampled for them goes to the driver
-    keys = ["place", "doc_id", "tie"]
-    rows = rows.withColumns({"place": F.xxhash64("doc_id", F.lit(9)), "tie": F.xxhash64("buckets")}).repartitionByRange(FILES, *keys)
-    rows.sortWithinPartitions(*keys, "buckets").select("doc_id", "y", "buckets").write.parquet(folder)
+    keys = ["place", "doc_id", "row"]
+    rows = rows.withColumn("place", F.xxhash64("doc_id", F.lit(9))).repartitionByRange(FILES, *keys)
+    rows.sortWithinPartitions(*keys).select("y", "buckets").write.parquet(folder)
     drawn = {0: 0, 1: 0} | {r["y"]: r["n"] for r in spark.read.schema("y int").parquet(folder).groupBy("y").agg(F.count("*").alias("n")).collect()}
     if all(drawn.values()):
         learned = spark.range(0, 1, 1, 1).mapInArrow(_learner(folder), "bucket long, weight double").toArrow()
