@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.sources.scratch import written
 
 
 def pending(queue: DataFrame, done: DataFrame, keys: Sequence[str], *conditions: Column) -> DataFrame:
@@ -69,19 +71,38 @@ def with_counts(parents: DataFrame, children: DataFrame, key: str, name: str) ->
     return parents.join(counted, key, "left").withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
 
 
+def _steps(column: Column, kind: T.DataType) -> tuple[Column, int]:
+    """A date or whole number as a number from 0 on, and the bits that it has at most."""
+    if isinstance(kind, T.DateType):
+        return F.datediff(column, F.lit("0001-01-01")).cast("long"), 22
+    return column.cast("long") + (1 << 31), 33
+
+
 def in_intervals(rows: DataFrame, day: str, intervals: DataFrame, start: str, end: str, how: str = "left") -> DataFrame:
-    """Rows with the columns of the first interval that holds their day, null if none does (how="inner": without such rows). Intervals are a calendar, one row a week at most: all of them go with every row as one list."""
-    first = [start, end, *[c for c in intervals.columns if c not in (start, end)]]
-    listed = intervals.agg(F.sort_array(F.collect_list(F.struct(*first))).alias("_intervals"))
-    hit = F.get(F.filter("_intervals", lambda x: F.col(day).between(x[start], x[end])), F.lit(0))
-    out = rows.crossJoin(F.broadcast(listed)).withColumn("_hit", hit)
-    out = out.where("_hit is not null") if how == "inner" else out
+    """Rows with the columns of the first interval (by start, end and its other columns) that holds their day, null if none does (how="inner": without such rows). Days are dates or whole numbers.
+
+    Every interval falls into at most two ranges of 2^k days for each k, which begin at multiples of their length, and every day lies in one such range for each k: so the
+    range join is an equal join of ranges. Of all intervals that have a range only the first is kept, by a partial aggregate, and only distinct days look ranges up, so nothing grows with the
+    number of intervals that overlap.
+    """
+    low, bits = _steps(F.col("_i")[start], intervals.schema[start].dataType)
+    high, _ = _steps(F.col("_i")[end], intervals.schema[end].dataType)
+    ranges = f"""array_compact(flatten(transform(sequence(0, {bits}), k -> array(
+        if(shiftright(_low + shiftleft(1L, k) - 1, k) < shiftright(_high + 1, k) and shiftright(_low + shiftleft(1L, k) - 1, k) % 2 = 1, struct(k as k, shiftright(_low + shiftleft(1L, k) - 1, k) as at), null),
+        if(shiftright(_low + shiftleft(1L, k) - 1, k) < shiftright(_high + 1, k) and shiftright(_high + 1, k) % 2 = 1, struct(k as k, shiftright(_high + 1, k) - 1 as at), null)))))"""
+    whole = intervals.select(F.struct(start, end, *[c for c in intervals.columns if c not in (start, end)]).alias("_i")).withColumns({"_low": low, "_high": high})
+    firsts = whole.select("_i", F.explode(F.expr(ranges)).alias("_range")).groupBy("_range").agg(F.min("_i").alias("_i"))
+    number, _ = _steps(F.col(day), rows.schema[day].dataType)
+    days = rows.select(F.col(day).alias("_day"), number.alias("_n")).where("_n is not null").distinct()
+    days = days.select("_day", F.explode(F.expr(f"transform(sequence(0, {bits}), k -> struct(k as k, shiftright(_n, k) as at))")).alias("_range"))
+    hits = days.join(firsts, "_range").groupBy("_day").agg(F.min("_i").alias("_hit"))
+    out = rows.join(hits, F.col(day) == F.col("_day"), how)
     return out.select(*rows.columns, *[F.col("_hit")[c].alias(c) for c in intervals.columns])
 
 
 def with_default(rows: DataFrame, dictionary: DataFrame, key: str, value: str, default: Column) -> DataFrame:
-    """Lookup in a dictionary of fixed size with a default."""
-    return rows.join(F.broadcast(dictionary), key, "left").withColumn(value, F.coalesce(value, default))
+    """Lookup in a dictionary with a default. Spark broadcasts the dictionary if it is small as measured."""
+    return rows.join(dictionary, key, "left").withColumn(value, F.coalesce(value, default))
 
 
 def first_of_group(rows: DataFrame, group: Sequence[str], order: Sequence[str], *columns: str) -> DataFrame:
@@ -111,20 +132,30 @@ def filled_grid(rows: DataFrame, keys: DataFrame, steps: DataFrame, on: Sequence
 
 
 def greedy_matches(pairs: DataFrame, group: str, left: str, right: str, score: str, least: float = 0.6) -> DataFrame:
-    """One-to-one matches within each group, best score first (ties by left, then right), from least on. A group is one item's small list of candidates."""
-
-    def match(pdf: pd.DataFrame) -> pd.DataFrame:
-        used_left, used_right, out = set(), set(), []
-        for row in pdf[pdf[score] >= least].sort_values([score, left, right], ascending=[False, True, True]).itertuples(index=False):
-            a, b = getattr(row, left), getattr(row, right)
-            if a not in used_left and b not in used_right:
-                used_left.add(a)
-                used_right.add(b)
-                out.append((getattr(row, group), a, b, getattr(row, score)))
-        return pd.DataFrame(out, columns=[group, left, right, score])
-
-    types = dict(pairs.dtypes)
-    return pairs.select(group, left, right, score).groupBy(group).applyInPandas(match, ", ".join(f"{c} {types[c]}" for c in (group, left, right, score)))
+    """One-to-one matches within each group, best score first (ties by left, then right), from least on.
+
+    In rounds: a pair that is the best of its left and of its right member is what the greedy rule takes, whatever happens elsewhere, so all of these are taken at
+    once, and what they touch is dropped. Each round is two aggregates and joins by (group, member), so a group may have any number of pairs. Random scores take about log(pairs)
+    rounds; a chain of pairs, each better than the next, takes as many as it has links. Null members are members like any other.
+    """
+    of_left, of_right = F.struct(group, left), F.struct(group, right)
+    best = F.min(F.struct((-F.col(score)).alias("s"), F.col(left).alias("l"), F.col(right).alias("r")))
+    live = written(pairs.select(group, left, right, score).where(F.col(score) >= least))
+    taken = []
+    while not live.isEmpty():
+        of_pair = F.struct("_side", "_best.l", "_best.r", "_best.s")
+        a = live.groupBy(of_left.alias("_key")).agg(best.alias("_best")).withColumn("_side", F.col("_key")[group])
+        b = live.groupBy(of_right.alias("_key")).agg(best.alias("_best")).withColumn("_side", F.col("_key")[group])
+        both = written(a.select(of_pair.alias("_pair")).join(b.select(of_pair.alias("_pair")), "_pair"))
+        found = both.select(F.col("_pair._side").alias(group), F.col("_pair.l").alias(left), F.col("_pair.r").alias(right), (-F.col("_pair.s")).alias(score))
+        taken.append(found)
+        for member in (of_left, of_right):
+            live = live.withColumn("_key", member).join(found.select(member.alias("_key")), "_key", "left_anti").drop("_key")
+        live = written(live)
+    out = live
+    for found in taken:
+        out = out.unionByName(found)
+    return out
 
 
 def missing_days(first: Column, last: Column, calendar: DataFrame, present: DataFrame, day: str = "day") -> DataFrame:

@@ -89,6 +89,18 @@ def j11(spark, d):
     return relational.in_intervals(o, "day", spans, "s", "e").select("o_orderkey", "name")
 
 
+@query("j11_first_event_span", """
+with spans as (select event_id as span, cast(ts as date) as s, cast(ts as date) + cast(event_id % 9 - 1 as integer) as e from events),
+days as (select distinct cast(ts as date) as day from events),
+firsts as (select day, span, row_number() over (partition by day order by s, e, span) as n from days join spans on day between s and e)
+select event_id, span from events left join firsts on day = cast(ts as date) and n = 1""")
+def j11_spans(spark, d):
+    # every event is also an interval of up to eight days, or an empty one; they overlap by the thousand
+    e = table(spark, d, "events").withColumn("day", F.to_date("ts"))
+    spans = e.select(F.col("event_id").alias("span"), F.col("day").alias("s"), F.date_add("day", (F.col("event_id") % 9 - 1).cast("int")).alias("e"))
+    return relational.in_intervals(e.select("event_id", "day"), "day", spans, "s", "e").select("event_id", "span")
+
+
 @query("j12_dictionary_default", """
 select s_suppkey, coalesce(case n_name when 'FRANCE' then 'fr' when 'GERMANY' then 'de' end, 'other') as lang from supplier join nation on s_nationkey = n_nationkey""")
 def j12(spark, d):
@@ -113,7 +125,7 @@ def j14(spark, d):
     # headline: a turn's first words; excerpt: all of it
     items = table(spark, d, "conversations").select("conv_id", "turn", excerpts.plain_words(text.first_words(F.col("text"))).alias("h"), text.word_set(F.col("text")).alias("w"))
     a, b = items.where("turn % 2 = 0"), items.where("turn % 2 = 1").toDF("conv_id", "other", "g", "v")
-    pairs = a.join(b, "conv_id").select("conv_id", "turn", "other", scores.pair_score(F.col("h"), F.col("g"), F.col("w"), F.col("v")).alias("score"))
+    pairs = a.join(b, "conv_id").select("conv_id", "turn", "other", scores.pair_score(F.col("h"), F.col("g"), F.col("w"), F.col("v"), 0.2).alias("score"))
     return relational.greedy_matches(pairs, "conv_id", "turn", "other", "score", 0.2)
 
 

@@ -36,19 +36,28 @@ def x4(spark, d):
     return docs(spark, d).select("doc_id", codes.alias("codes"))
 
 
-COUNTRIES = (
-    ("Algeria", "DZ"), ("Argentina", "AR"), ("Brasilien", "BR"), ("Canada", "CA"), ("Egypt", "EG"), ("Äthiopien", "ET"), ("France", "FR"), ("Deutschland", "DE"), ("India", "IN"), ("Indonesien", "ID"), ("Iran", "IR"), ("Irak", "IQ"), ("Japan", "JP"),
-    ("Jordanien", "JO"), ("Kenya", "KE"), ("Marokko", "MA"), ("Mozambique", "MZ"), ("Peru", "PE"), ("China", "CN"), ("Rumänien", "RO"), ("Saudi Arabia", "SA"), ("Vietnam", "VN"), ("Russia", "RU"), ("United Kingdom", "GB"), ("Vereinigte Staaten", "US"),
-)
+def _planted() -> list[str]:
+    """Every alias and adjective of the tables, one for each row in turn, in an English frame."""
+    return [f"News of {n}'s envoy." for some in (*places.NAMES.values(), *places.ADJECTIVES.values()) for n in some]
 
 
-@query("x4_named_countries", "select s_suppkey, case when s_suppkey % 2 = 0 then list_sort([code, 'IL']) else [code] end as codes from (select s_suppkey, [" + ", ".join(f"'{c}'" for _, c in COUNTRIES) + "][s_suppkey % 25 + 1] as code from supplier)")
-def x4_countries(spark, d):
-    from tidemark.sources.files import country_names
+def _country_forms() -> list[tuple[str, str, str]]:
+    """Code, form and pattern of every alias and adjective, for SQL's engine, which has no look-around: what may stand before and after is matched too."""
+    letter, quoted = r"\p{L}\p{N}_", lambda n: n.replace("'", "''")
+    after = {"Washington": rf"(s?$|s[^{letter}]|[^{letter} s]| ($|[^P]|P($|[^o]|o($|[^s]|s($|[^t])))))"}
+    names = [(c, quoted(n), rf"(^|[^{letter}-]){quoted(n).replace('.', chr(92) + '.')}" + after.get(n, rf"s?($|[^{letter}])")) for c, some in places.NAMES.items() for n in some]
+    return names + [(c, quoted(f), rf"(^|[^{letter}]){quoted(f)}") for c, some in places.ADJECTIVES.items() for n in some for f in dict.fromkeys([n, n[0].upper() + n[1:]])]
 
-    name = F.get(F.array(*[F.lit(n) for n, _ in COUNTRIES]), (F.col("s_suppkey") % len(COUNTRIES)).cast("int"))
-    said = F.concat(F.when(F.col("s_suppkey") % 2 == 0, "The Knesset heard of ").otherwise("News from "), name, F.lit("'s envoy in nice weather."))
-    return table(spark, d, "supplier").select("s_suppkey", places.named(said, places.with_country_names(country_names(spark))).alias("codes"))
+
+@query("x4_named_countries", "with p as (select * from (values " + ", ".join(f"('{c}', '{f}', '{p}')" for c, f, p in _country_forms()) + f""") t(code, form, p)),
+said as (select doc_id, coalesce(text, '') || ' ' || string_split('{"|".join(_planted()).replace("'", "''")}', '|')[cast(doc_id % {len(_planted())} + 1 as integer)] as t from documents),
+hits as (select distinct doc_id, code from said, p where case when contains(t, form) then regexp_matches(t, p) else false end)
+select doc_id, coalesce(codes, []) as codes from said left join (select doc_id, list_sort(list(code)) as codes from hits group by 1) using (doc_id)""")
+def x4_countries(spark, d):
+    # the invented prose hardly names a country, so every alias and adjective is put at the end of some text; whole texts are searched for all of them
+    planted = _planted()
+    said = F.concat(F.coalesce("text", F.lit("")), F.lit(" "), F.get(F.split(F.lit("|".join(planted)), r"\|"), (F.col("doc_id") % len(planted)).cast("int")))
+    return docs(spark, d).select("doc_id", places.named(said, places.NAMES).alias("codes"))
 
 
 @query("x5_item_text", "select doc_id, md5(coalesce(text, '') || ' ' || chr(10) || ' ' || '' || ' ' || chr(10) || ' ' || coalesce(lang, '')) as m from documents")
