@@ -22,13 +22,15 @@ def ranged(rows: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     return written(rows.repartitionByRange(width, *order).withColumn("_range", F.spark_partition_id()))
 
 
-def with_place(rows: DataFrame, order: Sequence[Column | str], name: str = "place", group: Sequence[str] = ()) -> DataFrame:
-    """rows with their place, from 1, in a total order; with `group`, whose columns come first in that order, the place within each group."""
+def with_place(rows: DataFrame, order: Sequence[Column | str], name: str = "place", group: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+    """rows with their place, from 1, in a total order; with `group`, whose columns come first in that order, the place within each group. A row with a weight stands for so many, and its place is that of the last."""
     parts = ranged(rows, [*group, *order])
-    sizes = parts.groupBy("_range", *group).agg(F.count("*").alias("_n"))
+    each = F.col(weight) if weight else F.lit(1)
+    sizes = parts.groupBy("_range", *group).agg(F.sum(each).alias("_n"))
     before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_range", *[F.col(c).alias(f"_of_{c}") for c in group], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("_range", *group).orderBy(*order))
+    own = Window.partitionBy("_range", *group).orderBy(*order)
+    inside = F.sum(weight).over(own.rowsBetween(Window.unboundedPreceding, 0)) if weight else F.row_number().over(own)
     on = F.col("_range") == F.col("_start_range")
     for c in group:
         on = on & F.col(c).eqNullSafe(F.col(f"_of_{c}"))

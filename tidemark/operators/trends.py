@@ -129,15 +129,19 @@ def drift_alerts(days: DataFrame, series: str, day: str, z: str) -> DataFrame:
 
 
 def order_statistics(rows: DataFrame, group: Sequence[str], value: str) -> DataFrame:
-    """n, total, mean, median (element n // 2), p95 (element int(0.95 n)), max: elements, never interpolated, found by place in each group, however large."""
-    value_of = F.col(value).asc_nulls_first()
-    placed = with_place(rows.select(*group, value), [value_of], "_p", group)
+    """n, total, mean, median (element n // 2), p95 (element int(0.95 n)), max: elements, never interpolated, found by place in each group, however large.
+
+    Equal values are counted first, with partial sums, and only distinct ones are ordered, so a value that most rows have is one row.
+    """
+    counted = rows.groupBy(*group, value).agg(F.count("*").alias("_k"))
+    placed = with_place(counted, [F.col(value).asc_nulls_first()], "_p", group, "_k")
     sums = rows.groupBy(*group).agg(F.count("*").alias("n"), F.sum(value).alias("total"), F.avg(value).alias("mean"), F.max(value).alias("max"))
     on = None
     for c in group:
         same = F.col(c).eqNullSafe(F.col(f"_of_{c}"))
         on = same if on is None else on & same
+    holds = lambda place: (F.col("_p") >= place) & (F.col("_p") - F.col("_k") < place)
     half, late = F.floor(F.col("n") / 2) + 1, F.least(F.floor(0.95 * F.col("n")), F.col("n") - 1) + 1
-    picked = placed.select(*[F.col(c).alias(f"_of_{c}") for c in group], F.col(value).alias("_v"), "_p").join(sums, on).where((F.col("_p") == half) | (F.col("_p") == late))
-    at = lambda place: F.max(F.when(F.col("_p") == place, F.col("_v")))
+    picked = placed.select(*[F.col(c).alias(f"_of_{c}") for c in group], F.col(value).alias("_v"), "_p", "_k").join(sums, on).where(holds(half) | holds(late))
+    at = lambda place: F.max(F.when(holds(place), F.col("_v")))
     return picked.groupBy(*group, "n", "total", "mean", "max").agg(at(half).alias("median"), at(late).alias("p95")).select(*group, "n", "total", "mean", "median", "p95", "max")

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import calendar, text
-from tidemark.operators import relational
+from tidemark.operators import facets, relational
 from tidemark.plans.registry import articles, query, table
 from tidemark.sources import files
+from tidemark.sources.scratch import written
 
 
 @query("s1_scan", "select o_orderkey, o_orderstatus from orders")
@@ -308,6 +309,34 @@ def f17(spark, d):
     return a.select("article_id")
 
 
+def _facets(spark, d):
+    """The articles' index by region, category and day, written once: what follows reads no article."""
+    a = articles(spark, d)
+    return written(facets.facet_index(a, "article_id", {"region": F.col("region"), "category": F.col("category"), "day": F.col("day")}))
+
+
+WANTED = {"region": ["EUROPE", "ASIA"], "category": ["1-URGENT", "3-MEDIUM"], "day": ("1996-01-01", "1997-12-31")}
+_IN_FACETS = "region in ('EUROPE', 'ASIA') and category in ('1-URGENT', '3-MEDIUM') and day >= date '1996-01-01' and day <= date '1997-12-31'"
+
+
+@query("f17_facet_index", f"with {{articles}} select article_id from articles where {_IN_FACETS}")
+def f17_index(spark, d):
+    return facets.ids_of(facets.matching(_facets(spark, d), WANTED), "article_id")
+
+
+@query("f17_facet_counts", f"""with {{articles}}, hits as (select * from articles where {_IN_FACETS})
+select 'region' as facet, region as value, count(*) as n from hits group by 2 union all select 'category', category, count(*) from hits group by 2 union all select 'day', cast(day as varchar), count(*) from hits group by 2""")
+def f17_counts(spark, d):
+    index = _facets(spark, d)
+    return facets.value_counts(index, facets.matching(index, WANTED))
+
+
+@query("a27_facet_postings", "with {articles} select 'region' as facet, region as value, count(*) as n from articles group by 2 union all select 'category', category, count(*) from articles group by 2")
+def a27_postings(spark, d):
+    index = _facets(spark, d).where("facet != 'day'")
+    return index.groupBy("facet", "value").agg(F.sum(F.bitmap_count("bits")).alias("n"))
+
+
 @query("f18_swapped_range", "select o_orderkey from orders where cast(o_orderdate as date) between least(date '1997-01-01', date '1996-06-01') and greatest(date '1997-01-01', date '1996-06-01')")
 def f18(spark, d):
     ends = [F.lit("1997-01-01").cast("date"), F.lit("1996-06-01").cast("date")]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.registry import query, table
 from tidemark.sources.scratch import fresh_folder
-from tidemark.streaming import counters
+from tidemark.streaming import counters, runs
 
 
 def _stream(spark, d, name):
@@ -65,6 +65,20 @@ def r6(spark, d):
     return with_previous(e, ["event_id"], "failed").select("event_id", (F.col("failed") & F.coalesce("previous", F.lit(False))).alias("tripped"))
 
 
+@query("r6_run_state", """
+with o as (select user_id, event_id, case event_type when 'error' then 'failed' when 'purchase' then 'published' when 'signup' then 'skipped' else 'started' end as outcome from events),
+g as (select *, sum(case when outcome in ('published', 'skipped') then 1 else 0 end) over (partition by user_id order by event_id) as since from o),
+f as (select *, sum(case when outcome = 'failed' then 1 else 0 end) over (partition by user_id, since order by event_id) as failures from g)
+select user_id as job, event_id as run, cast(failures as integer) as failures, outcome = 'failed' and failures >= 2 as tripped from f""")
+def r6_state(spark, d):
+    # every user is a job, and every event one of its runs
+    f = fresh_folder(spark)
+    outcome = F.when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "purchase", "published").when(F.col("event_type") == "signup", "skipped").otherwise("started")
+    streaks = runs.failure_streaks(_stream(spark, d, "events").select("user_id", "event_id", outcome.alias("outcome")), "user_id", "event_id", "outcome")
+    streaks.writeStream.format("parquet").option("path", f"{f}/streaks").option("checkpointLocation", f"{f}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(streaks.schema).parquet(f"{f}/streaks")
+
+
 WEEK = "cast(date '1970-01-01' + cast(date_diff('day', date '1970-01-01', cast(ts as date)) // 7 * 7 as integer) as date)"
 
 
