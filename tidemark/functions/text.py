@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,16 +16,14 @@ LETTERS_MARKERS = ("LETTERS TO THE EDITOR", "LESERBRIEFE", "Leserbriefe")
 SELF_EXCLUSION = r"(?i)^(not applicable|n/a\b|not geopolitical|non-geopolitical|not a geopolitical)"
 #: Number words before a noun for newspapers.
 NUMBER_WORDS = {"he": ("שני", "שלושה", "ארבעה", "חמישה", "שישה", "שבעה", "שמונה", "תשעה", "עשרה", "שניים"), "en": ("two", "three", "four", "five", "six", "seven", "eight", "nine", "ten"), "de": ("zwei", "drei", "vier", "fünf", "sechs", "sieben", "acht", "neun", "zehn")}
-SOURCE_NOUNS = {"en": "newspapers|papers|dailies|outlets", "de": "Zeitungen|Blätter|Medien", "he": "עיתונ(?:ים|י)"}
+SOURCE_NOUNS = {"en": ("newspapers", "papers", "dailies", "outlets"), "de": ("zeitungen", "blätter", "medien"), "he": ("עיתונים", "עיתוני")}
 #: Names of fields that leak into a text, least share of a script, claims that can be about the listed sources.
 FIELD_NAMES, LEAST_SHARE, MOST_SOURCES = r"\b(?:comparison_text|topic_label|overview)_(?:he|en|de)\b|\brecord_(?:biweekly_topic|overview|topic_comparison)\b", 0.35, 15
 #: Kinds of defects, the most telling first, as they are logged.
 DEFECTS = {"foreign_chars": "foreign_script_chars", "mixed_script": "mixed_script", "tag_fragment": "tag_fragment", "low_script_ratio": "low_script_ratio"}
-#: A digit 1 between two names, as a hyphen or a blank leaves it.
-ONE_BETWEEN = r"(?<=[a-z])-1(?=[ \u00A0][A-Z])|(?<=[a-z])[ \u00A0]1-(?=[A-Z])"
-
 
 #: White space, listed: much faster than the pattern for it that follows Unicode.
+_WORD = re.compile(r"\w+")
 _BLANKS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
 
@@ -155,13 +155,39 @@ def priority_defect(defects: Column, otherwise: str = "suspicious") -> Column:
     return F.coalesce(*[F.when(F.array_contains(F.map_keys(defects), kind), F.lit(name)) for kind, name in DEFECTS.items()], F.lit(otherwise))
 
 
+def claims_in(said: str | None, lang: str) -> list[int]:
+    """Numbers, as digits or words, that stand before a noun for newspapers, or one word before it. In Hebrew letters may be joined to the number, and the noun follows at once and may go on."""
+    words = [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(said or "")]
+    values = {w: 2 + k % 9 for k, w in enumerate(NUMBER_WORDS[lang])}
+    near = lambda i: i < len(words) and said[words[i - 1][2] : words[i][1]].isspace()
+    out, i = [], 0
+    while i < len(words):
+        own = words[i][0]
+        if lang == "he":
+            word = max((w for w in values if own.endswith(w)), key=len, default="")
+            digits = own[len(own.rstrip("0123456789")) :]
+            number = values.get(word) if word else int(digits) if digits else None
+            if number is not None and near(i + 1) and words[i + 1][0].startswith(SOURCE_NOUNS[lang]):
+                out.append(number)
+            i += 1
+            continue
+        number = values.get(own) if own in values else int(own) if own.isdecimal() else None
+        # the noun is looked for behind one more word first
+        far = next((k for k in (2, 1) if number is not None and all(near(i + j + 1) for j in range(k)) and words[i + k][0] in SOURCE_NOUNS[lang]), 0)
+        if far:
+            out.append(number)
+        i += far + 1
+    return out
+
+
 def claimed_sources(text: Column, lang: str) -> Column:
-    """Numbers, as digits or words, that stand before a noun for newspapers."""
-    words = NUMBER_WORDS[lang]
-    #: How such claims are worded.
-    pattern = rf"(?iU)(\d+|{'|'.join(words)})\s+{SOURCE_NOUNS[lang]}" if lang == "he" else rf"(?iU)\b(\d+|{'|'.join(words)})\s+(?:\w+\s+)?(?:{SOURCE_NOUNS[lang]})\b"
-    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(1))
-    return F.transform(found, lambda x: F.coalesce(x.try_cast("int"), (F.pmod(F.array_position(F.array(*map(F.lit, words)), F.lower(x)) - 1, F.lit(9)) + 2).cast("int")))
+    """Numbers of newspapers that a text claims (see claims_in())."""
+
+    @F.pandas_udf("array<int>")
+    def claims(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: claims_in(t, lang) if t and any(n in t.lower() for n in SOURCE_NOUNS[lang]) else [])
+
+    return claims(text)
 
 
 def tells(text: Column, dictionary: Sequence[str]) -> Column:
@@ -171,8 +197,20 @@ def tells(text: Column, dictionary: Sequence[str]) -> Column:
 
 
 def one_for_and(text: Column) -> Column:
-    """A digit 1 wedged between two names by a hyphen."""
-    return F.coalesce(text.rlike(ONE_BETWEEN), F.lit(False))
+    """A digit 1 wedged between two names by a hyphen: what stands left and right of each 1 is looked at, once there are a hyphen and a 1 side by side."""
+    sides = F.split(F.coalesce(text, F.lit("")), "1")
+    pair = lambda i: (F.get(sides, i), F.get(sides, i + 1))
+
+    def wedged(i: Column) -> Column:
+        left, right = pair(i)
+        hyphen_left = F.right(left, F.lit(1)) == "-"
+        before, after = F.substring(left, -2, 1), F.substring(right, 2, 1)
+        blank = F.when(hyphen_left, F.substring(right, 1, 1)).otherwise(F.right(left, F.lit(1)))
+        hyphen = hyphen_left | (F.substring(right, 1, 1) == "-")
+        return hyphen & before.between("a", "z") & (F.length(before) == 1) & blank.isin(" ", "\u00a0") & after.between("A", "Z") & (F.length(after) == 1)
+
+    some = F.exists(F.sequence(F.lit(0), F.size(sides) - 2), wedged)
+    return F.coalesce(F.when(text.contains("-1") | text.contains("1-"), some), F.lit(False))
 
 
 def content_key(*parts: Column) -> Column:

@@ -178,12 +178,25 @@ def x23(spark, d):
     return docs(spark, d).select("doc_id", text.is_suspicious(F.col("text")).alias("suspicious"))
 
 
-@query("x24_claimed_sources", "select doc_id, [doc_id % 9 + 2] as claimed from documents")
+def _planted_sql(sentences) -> str:
+    """Documents with one of some sentences before each text, in turn."""
+    listed = ", ".join("'" + x.replace("'", "''") + "'" for x in sentences)
+    return f"said as (select doc_id, [{listed}][doc_id % {len(sentences)} + 1] || ' ' || coalesce(text, '') as t from documents)"
+
+
+def _with_planted(spark, d, sentences):
+    first = F.get(F.array(*map(F.lit, sentences)), (F.col("doc_id") % len(sentences)).cast("int"))
+    return docs(spark, d).select("doc_id", F.concat(first, F.lit(" "), F.coalesce("text", F.lit(""))).alias("said"))
+
+
+CLAIMS = ("Here two daily newspapers differ.", "Some 12 outlets say so; nine\nPAPERS and 10 big dailies too.", "Seven or more papers, a hundred newspapers, 3papers.", "", "Eight two papers; 4 of the dailies.")
+
+
+@query("x24_claimed_sources", rf"""with {_planted_sql(CLAIMS)},
+found as (select doc_id, regexp_extract_all(t, '(?i)(?:^|\W)(\d+|two|three|four|five|six|seven|eight|nine|ten)\s+(?:\w+\s+)?(?:newspapers|papers|dailies|outlets)(?:\W|$)', 1) as n from said)
+select doc_id, [coalesce(try_cast(x as bigint), list_position(['', 'two', 'three', 'four', 'five', 'six', 'seven', 'eight', 'nine', 'ten'], lower(x))) for x in n] as claimed from found""")
 def x24(spark, d):
-    n = (F.col("doc_id") % 9).cast("int")
-    word = F.when(F.col("doc_id") % 2 == 0, F.get(F.array(*map(F.lit, text.NUMBER_WORDS["en"])), n)).otherwise((n + 2).cast("string"))
-    said = F.concat(F.lit("Here "), word, F.lit(" daily newspapers differ."))
-    return docs(spark, d).select("doc_id", F.transform(text.claimed_sources(said, "en"), lambda x: x.cast("long")).alias("claimed"))
+    return _with_planted(spark, d, CLAIMS).select("doc_id", F.transform(text.claimed_sources(F.col("said"), "en"), lambda x: x.cast("long")).alias("claimed"))
 
 
 @query("x25_opening_sentence", r"select doc_id, case when regexp_matches(t, '(?s)^.+?[.!?](\s|$)') then regexp_extract(t, '(?s)^(.+?[.!?])(\s|$)', 1) else left(t, 300) end as opening from (select doc_id, replace(trim(text), 'U.S.', 'US') as t from documents)")
@@ -204,7 +217,7 @@ near as (select distinct o.doc_id, o.w from o join (select doc_id, i - unnest([1
 select documents.doc_id, coalesce(list_sort(list(w) filter (where w is not null)), []) as origins from documents left join near using (doc_id) group by 1""")
 def x26(spark, d):
     # the rule on words that the invented prose has
-    found = framing.origin_groups(F.col("text"), [("^the$", "the"), ("^and$", "and"), ("^of$", "of")], [], "that|with|is")
+    found = framing.origin_groups(F.col("text"), {"the": ["=the"], "and": ["=and"], "of": ["=of"]}, {}, ["that", "with", "is"])
     return docs(spark, d).select("doc_id", found.alias("origins"))
 
 
@@ -215,20 +228,29 @@ OPENINGS = (
 )
 
 
-@query("x26_national_framing", "select s_suppkey, [true, false, true, false, true, false][s_suppkey % 6 + 1] as framed from supplier")
+@query("x26_national_framing", rf"""with {_planted_sql(OPENINGS)},
+opened as (select doc_id, lower(case when regexp_matches(f, '(?s)^.+?[.!?](\s|$)') then regexp_extract(f, '(?s)^(.+?[.!?])(\s|$)', 1) else left(f, 300) end) as s from (select doc_id, replace(trim(t), 'U.S.', 'US') as f from said)),
+told as (select *, regexp_matches(s, '(^|\W)(less|not)(\W|$)') as negated, len([o for o in ['british', 'american', 'german', 'swiss', '(^|\W)us'] if regexp_matches(s, o || '[a-z]*([^a-z]+[a-z]+){{0,4}}[^a-z]+[a-z]*(press|media|outlet|commentary)')]) as origins from opened)
+select doc_id, not negated and (regexp_matches(s, '(^|\W)(along )?national lines') or origins >= 2 and regexp_matches(s, 'split|differ|contrast|between')) as framed from told""")
 def x26_framing(spark, d):
-    opening = F.get(F.array(*map(F.lit, OPENINGS)), (F.col("s_suppkey") % len(OPENINGS)).cast("int"))
-    return table(spark, d, "supplier").select("s_suppkey", framing.frames_by_nationality(opening, "en").alias("framed"))
+    return _with_planted(spark, d, OPENINGS).select("doc_id", framing.frames_by_nationality(F.col("said"), "en").alias("framed"))
 
 
-LISTS = ("American papers - The Guardian, Los Angeles Times and The Washington Post - agree.", "British papers such as The Guardian and The Daily Telegraph agree.", "German newspapers, especially Neue Zürcher Zeitung and The Economist.")
+LISTS = (
+    "American papers - The Guardian, Los Angeles Times and The Washington Post - agree.", "British papers such as The Guardian and The Daily Telegraph agree.", "German newspapers, especially Neue Zürcher Zeitung and The Economist.", "",
+    "The leading British outlets: Los Angeles Times, Süddeutsche Zeitung and The Guardian.", "British papers agree with The Washington Post.", "american outlets covering all of it - the Süddeutsche Zeitung.",
+)
+_NAMES_SQL = "The Guardian|The Daily Telegraph|Los Angeles Times|The Washington Post|Süddeutsche Zeitung|Neue Zürcher Zeitung|The Economist"
 
 
-@query("x28_nationality_labels", "select s_suppkey, [['American papers: The Guardian'], [], []][s_suppkey % 3 + 1] as conflicts from supplier")
+@query("x28_nationality_labels", rf"""with {_planted_sql(LISTS)},
+lists as (select doc_id, regexp_extract(t, '(?i:(american|british|german) (papers|newspapers|outlets))(?: [a-z]+)*?(?: - | such as |, especially |: )(?:the )?((?:(?:{_NAMES_SQL})(?:, | and )?)+)', ['origin', 'noun', 'names']) as m from said),
+wrong as (select doc_id, m.origin || ' ' || m.noun as label, [n for n in regexp_extract_all(m.names, '{_NAMES_SQL}') if n != 'The Economist' and not list_contains(case lower(m.origin) when 'american' then ['Los Angeles Times', 'The Washington Post']
+    when 'british' then ['The Guardian', 'The Daily Telegraph'] else ['Süddeutsche Zeitung', 'Neue Zürcher Zeitung'] end, n)] as w from lists)
+select doc_id, case when len(w) > 0 then [label || ': ' || array_to_string(w, ', ')] else [] end as conflicts from wrong""")
 def x28(spark, d):
-    said = F.get(F.array(*map(F.lit, LISTS)), (F.col("s_suppkey") % len(LISTS)).cast("int"))
-    found = table(spark, d, "supplier").select("s_suppkey", framing.nationality_conflicts(PAPERS, "en")(said).alias("found"))
-    return found.select("s_suppkey", F.transform("found", lambda c: F.concat(c["label"], F.lit(": "), F.array_join(c["wrong"], ", "))).alias("conflicts"))
+    found = _with_planted(spark, d, LISTS).select("doc_id", framing.nationality_conflicts(PAPERS, "en")("said").alias("found"))
+    return found.select("doc_id", F.transform("found", lambda c: F.concat(c["label"], F.lit(": "), F.array_join(c["wrong"], ", "))).alias("conflicts"))
 
 
 @query("x29_section_audit", r"""
@@ -253,10 +275,12 @@ def x29(spark, d):
     return flags.select("doc_id", "kind", "field")
 
 
-@query("x30_one_for_and", "select doc_id, doc_id % 4 = 0 as wrong from documents")
+WEDGED = ("Herr Brandt-1 Smith wrote.", "the B-1 bomber and 11-Smith", "Brandt and Smith", "Brandt\u00a01-Smith agree", "a1-B 1- B -1")
+
+
+@query("x30_one_for_and", rf"with {_planted_sql(WEDGED)} select doc_id, regexp_matches(t, '[a-z](-1[ \x{{00A0}}]|[ \x{{00A0}}]1-)[A-Z]') as wrong from said")
 def x30(spark, d):
-    said = F.when(F.col("doc_id") % 4 == 0, "Herr Brandt-1 Smith").when(F.col("doc_id") % 4 == 1, "the B-1 bomber").otherwise("Brandt and Smith")
-    return docs(spark, d).select("doc_id", text.one_for_and(said).alias("wrong"))
+    return _with_planted(spark, d, WEDGED).select("doc_id", text.one_for_and(F.col("said")).alias("wrong"))
 
 
 @query("x31_word_set", r"select conv_id, turn, list_sort(list_distinct(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{3,}'))) as words from conversations")
