@@ -44,8 +44,7 @@ def normalised(text: Column) -> Column:
 
 def text_hash(text: Column) -> Column:
     """SHA-256 of the normalised text, or '' if it is too short to compare."""
-    n = normalised(text)
-    return F.when(F.length(n) < LEAST_COMPARED, "").otherwise(F.sha2(n, 256))
+    return once(normalised(text), lambda n: F.when(F.length(n) < LEAST_COMPARED, "").otherwise(F.sha2(n, 256)))
 
 
 def real_characters(text: Column) -> Column:
@@ -110,14 +109,16 @@ def foreign_letters(text: Column, allowed: str) -> Column:
 
 def script_ratio(text: Column, script: str, least: int = 40) -> Column:
     """Letters of a script among all letters; null with fewer than `least` letters."""
-    letters = F.length(F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\p{L}]", ""))
-    own = F.length(F.regexp_replace(F.coalesce(text, F.lit("")), rf"[^{script}]", ""))
+    letters = F.length(F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\p{L}]+", ""))
+    own = F.length(F.regexp_replace(F.coalesce(text, F.lit("")), rf"[^{script}]+", ""))
     return F.when(letters >= least, own / letters)
 
 
 def mixed_script_words(text: Column, script: str, other: str, but: str | None = None) -> Column:
     """Words that have letters of both scripts, less those that are all of the pattern `but`, such as a prefix before a name."""
-    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"[\p{L}\p{M}]+"), F.lit(0))
+    # most texts have letters of one script only, and aren't cut into words
+    both = F.coalesce(text.rlike(script) & text.rlike(other), F.lit(False))
+    found = F.when(both, F.regexp_extract_all(text, F.lit(r"[\p{L}\p{M}]+"), F.lit(0))).otherwise(F.array().cast("array<string>"))
     return F.filter(found, lambda w: w.rlike(script) & w.rlike(other) & (~w.rlike(f"^(?:{but})$") if but else F.lit(True)))
 
 
@@ -143,6 +144,8 @@ def tag_fragments(text: Column) -> Column:
 def text_defects(text: Column, allowed: str, scripts: tuple[str, ...], expected: str | None = None) -> Column:
     """Map of the kinds of defects that a text has to what was found: characters outside the Java class `allowed`, words of both `scripts` (and a third pattern of such words that are right), tags and field names, and a share of
     letters of the script `expected` (null: not judged) below LEAST_SHARE. Empty if the text is clean."""
+    # a single class can be passed over in runs
+    allowed = f"{allowed}+" if re.fullmatch(r"\[[^\[]*\]", allowed) else allowed
     strange = F.array_sort(F.array_distinct(F.filter(F.split(F.regexp_replace(F.coalesce(text, F.lit("")), allowed, ""), ""), lambda c: c != "")))
     ratio = script_ratio(text, expected) if expected else F.lit(None).cast("double")
     low = F.when(ratio < LEAST_SHARE, F.array(F.round(ratio, 2).cast("string"))).otherwise(F.array().cast("array<string>"))

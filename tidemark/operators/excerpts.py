@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import ahocorasick
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ from tidemark.functions import text as rules
 
 #: Words in a row by which passages are looked up, and the share of an excerpt's words that counts as found.
 ANCHOR, MOSTLY = 5, 0.9
+#: Bytes of short passages that are looked for at once.
+BLOCK = 8 << 20
 
 
 def plain_words(text: Column) -> Column:
@@ -32,11 +36,45 @@ def excerpt_checks(items: DataFrame, pages: DataFrame, on: Sequence[str], excerp
     )
 
 
+def _short_found(texts: DataFrame, key: str, text: str, short: DataFrame) -> DataFrame:
+    """key, _p of every text that holds one of the distinct short passages, in blocks of passages of bounded size: each block is an automaton that texts run through once, whatever its number of passages."""
+    size = short.agg(F.sum(F.octet_length("_p") + 1)).first()[0] or 0
+    blocks = -(-size // BLOCK)
+    parts = []
+    for b in range(blocks):
+        block = [r["_p"] for r in short.where(F.pmod(F.xxhash64("_p"), F.lit(blocks)) == b).collect()]
+        parts.append(texts.select(F.col(key), F.explode(_held(block)(text)).alias("_p")))
+    found = parts[0] if parts else texts.join(short, F.lit(False)).select(key, "_p")
+    for part in parts[1:]:
+        found = found.union(part)
+    return found
+
+
+def _held(passages: Sequence[str]):
+    """A pandas UDF: which of some passages a text holds."""
+    built = []
+
+    @F.pandas_udf("array<string>")
+    def held(texts: pd.Series) -> pd.Series:
+        if not built:
+            automaton = ahocorasick.Automaton()
+            for p in passages:
+                if p:
+                    automaton.add_word(p, p)
+            if len(automaton):
+                automaton.make_automaton()
+            built.append(automaton)
+        always = {""} if "" in passages else set()
+        return texts.map(lambda t: None if t is None else sorted(always | ({p for _, p in built[0].iter(t)} if len(built[0]) else set())))
+
+    return held
+
+
 def passages_found(texts: DataFrame, key: str, text: str, passages: DataFrame, passage_key: str, passage: str) -> DataFrame:
     """key, passage_key of every text that holds a passage as it stands.
 
     A passage is looked up by five words in a row from its inside, which a text that holds it has between blanks. Texts meet passages
-    in an equi-join on the hash of such runs, whatever the tables' sizes; only texts that share a run with a passage are then searched. Passages too short for that are held against all texts.
+    in an equi-join on the hash of such runs, whatever the tables' sizes; only texts that share a run with a passage are then searched. Passages too short for that are looked for by an automaton.
     """
     runs = lambda words: F.transform(F.sequence(F.lit(0), F.size(words) - ANCHOR), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(ANCHOR)]))
     words = F.split(F.col("_p"), " ", -1)
@@ -47,5 +85,5 @@ def passages_found(texts: DataFrame, key: str, text: str, passages: DataFrame, p
     met = cut.select(key, F.explode(F.array_distinct(rules.once(F.col("_t"), runs))).alias("_run")).join(anchored.select(passage_key, "_run"), "_run").select(key, passage_key).distinct()
     whole = texts.select(F.col(key), F.col(text).alias("_text"))
     found = met.join(whole, key).join(anchored.select(passage_key, "_p"), passage_key).where(F.contains("_text", "_p")).select(key, passage_key)
-    rest = whole.crossJoin(short).where(F.contains("_text", "_p")).select(key, passage_key)
+    rest = _short_found(texts, key, text, short.select("_p").distinct()).join(short, "_p").select(key, passage_key)
     return found.union(rest).distinct()

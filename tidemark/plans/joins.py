@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import scores, text
 from tidemark.operators import excerpts, relational, trends
 from tidemark.plans.registry import articles, query, table
+from tidemark.sources.scratch import written
 
 
 @query("j1_inner", "with {articles} select article_id, newspaper from articles where day = date '1996-01-02'")
@@ -114,10 +115,9 @@ with d as (select doc_id, source, case when length(n) < 200 then '' else sha256(
            from (select doc_id, source, replace(lower(trim(regexp_replace(text, '\s+', ' ', 'g'))), 'ß', 'ss') as n from documents))
 select doc_id, min(doc_id) over (partition by source, h) as first_doc from d where h != ''""")
 def j13(spark, d):
-    # the length is tested before anything is hashed, so that hashes are taken once and of long texts only
-    folded = table(spark, d, "documents").select("doc_id", "source", text.normalised(F.col("text")).alias("n")).where(F.length("n") >= text.LEAST_COMPARED)
-    docs = folded.select("doc_id", "source", F.sha2("n", 256).alias("h"))
-    return relational.duplicates_of_first(docs, ["source", "h"], ["doc_id"]).select("doc_id", F.col("first_doc_id").alias("first_doc"))
+    hashed = table(spark, d, "documents").select("doc_id", "source", text.text_hash(F.col("text")).alias("h")).where("h != ''")
+    # texts are read and hashed once; both sides of the join read the narrow table
+    return relational.duplicates_of_first(written(hashed), ["source", "h"], ["doc_id"]).select("doc_id", F.col("first_doc_id").alias("first_doc"))
 
 
 @query("j14_greedy_match")
