@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import calendar, text
 from tidemark.operators import facets, relational
 from tidemark.plans.registry import articles, query, table
-from tidemark.sources import files
-from tidemark.sources.scratch import written
+from tidemark.sources import files, records, sqlite
+from tidemark.sources.scratch import fresh_folder, written
 
 
 @query("s1_scan", "select o_orderkey, o_orderstatus from orders")
@@ -57,6 +59,16 @@ def s9(spark, d):
     return spark.sql("select event_type, count(*) as n from {events} where to_date(ts) between cast(:first as date) and cast(:last as date) group by 1", args=bound, events=table(spark, d, "events"))
 
 
+@query("s9_sqlite_source", "select event_id, cast(ts as date) as day, event_type, value from events where cast(ts as date) >= date '2024-01-05' and cast(ts as date) <= date '2024-01-11' and event_type in ('view', 'click')")
+def s9_sqlite(spark, d):
+    # written to files of another store and read from them with the tests inside
+    sqlite.register(spark)
+    folder = fresh_folder(spark, "sqlite")
+    events = table(spark, d, "events").select("event_id", F.to_date("ts").alias("day"), "event_type", "value")
+    events.write.format(sqlite.FORMAT).mode("append").option("path", folder).save()
+    return sqlite.stored(spark, folder, [("day", ">=", dt.date(2024, 1, 5)), ("day", "<=", dt.date(2024, 1, 11)), ("event_type", "in", ["view", "click"])])
+
+
 @query("s10_json_payload", """
 select o_orderstatus, '{"status":"' || o_orderstatus || '","n":' || count(*) || '}' as payload from orders group by 1""")
 def s10(spark, d):
@@ -88,6 +100,21 @@ def s16(spark, d):
     return files.evolved(new, table(spark, d, "supplier").selectExpr("s_suppkey as key", "s_name as name"))
 
 
+_DRIFTED = """drifted as (
+    select event_id, case event_id % 4 when 0 then props when 1 then '{"k":"' || (event_id % 50) || '","source":"v2"}' when 2 then '{"k":' || (event_id % 7) || '.5,"source":{"id":' || event_id || '}}'
+        else case event_id % 12 when 3 then '{"k":"many"}' when 7 then '[' || event_id || ']' else '{"k":' end end as text from events)"""
+
+
+@query("s16_drifting_records", f"""with {_DRIFTED}, j as (select event_id, text, case when json_valid(text) then text end as ok from drifted)
+select event_id, try_cast(json_extract_string(ok, '$.k') as double) as k, case when ok is null then 'not JSON' when json_type(ok) != 'OBJECT' then 'not an object' when try_cast(json_extract_string(ok, '$.k') as double) is null then 'not a double: k' end as reason from j""")
+def s16_drifting(spark, d):
+    # the field k is a number, a text, a fraction and something else in four versions; a twelfth of the records is cut off
+    text = F.expr("""case event_id % 4 when 0 then props when 1 then '{"k":"' || (event_id % 50) || '","source":"v2"}' when 2 then '{"k":' || (event_id % 7) || '.5,"source":{"id":' || event_id || '}}'
+        else case event_id % 12 when 3 then '{"k":"many"}' when 7 then '[' || event_id || ']' else '{"k":' end end""")
+    rows = records.as_variants(table(spark, d, "events").select("event_id", text.alias("text")), "text")
+    return records.typed(rows, "text", {"k": "double"}, ["k"]).select("event_id", "k", "reason")
+
+
 @query("d1_insert_ignore", """
 with new as (select o_custkey as k, min(o_orderkey) as v from orders group by 1)
 select c_custkey as k, cast(-1 as bigint) as v from customer where c_custkey % 3 = 0
