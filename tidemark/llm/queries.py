@@ -65,8 +65,9 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan(_table(spark, sf_dir, "documents"))
     first = F.array_min(F.transform("placements", lambda p: p["position"]))
-    columns = planned.select("doc_id", "size", "source_size", "target", "taken", F.round(first, 6).alias("first_position"))
-    return columns.orderBy(F.col("first_position").asc_nulls_last(), "doc_id")
+    # ordered by the whole position: rounded ones would be shared by many documents of a large table
+    ordered = planned.select("doc_id", "size", "source_size", "target", "taken", first.alias("first_position")).orderBy(F.col("first_position").asc_nulls_last(), "doc_id")
+    return ordered.withColumn("first_position", F.round("first_position", 6))
 
 
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
