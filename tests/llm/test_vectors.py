@@ -167,3 +167,20 @@ def test_components(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: find(i) for i in list(root)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_top_k_with_one_large_vector_among_many(spark, monkeypatch):
+    """A component of 1e6 (and others beyond 64 bits) in one row: the others are searched by their lists as before, over several blocks, and all scores are right."""
+    from tidemark.llm import vectors
+
+    monkeypatch.setattr(vectors, "CANDIDATES", 64)
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=5).tolist()) for i in range(600)]
+    rows += [(1000, [1e6, 0.5, -3.0, 2.0, 1.0]), (1001, [1e6, -1e6, 0.0, 0.0, 7.0]), (1003, [-4e7, 1.0, 1.0, 1.0, 1.0]), (1050, [3e5, 3e5, 3e5, 3e5, 3e5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows}
+    wanted = set()
+    for q in (i for i in whole if i % 50 == 0):
+        scored = sorted((-sum(a * b for a, b in zip(whole[q], whole[c], strict=True)), c) for c in whole if c != q)[:5]
+        wanted |= {(q, rank + 1, c, -s) for rank, (s, c) in enumerate(scored)}
+    assert {tuple(r) for r in top_k(df).collect()} == wanted

@@ -434,39 +434,60 @@ def _all_products(values: np.ndarray, ids: np.ndarray, q: np.ndarray, q_ids: np.
 
 
 class _Searcher:
-    """Reads and compares a top_k() job's blocks. A block in a shard: numbers of rows and queries, bounds of the components, queries (ids, scores to beat, vectors), ids, vectors, depths, orders."""
-
-    def __init__(self, folder: str, k: int, scale: float, kind: str):
-        self.folder, self.k, self.scale, self.kind = folder, k, scale, kind
-
-    def found(self, lists: Lists, q: np.ndarray, q_ids: np.ndarray, least: np.ndarray | None) -> list[tuple[int, int, int]]:
-        if self.kind != "f":
-            return _all_products(lists.values, lists.ids, q, q_ids, self.k)
-        w, r, score, _ = no_random_access(lists, q, q_ids, self.k, least)
-        return list(zip(q_ids[w].tolist(), lists.ids[r].tolist(), score.astype(np.int64).tolist(), strict=True))
+    """Reads and compares a top_k() job's blocks. A block in a shard: numbers of rows and queries, bounds of the components, queries (ids, best scores, vectors), ids, vectors, depths, orders."""
+
+    def __init__(self, folder: str, k: int, scale: float):
+        self.folder, self.k, self.scale = folder, k, scale
+
+    def large(self, x: np.ndarray) -> np.ndarray:
+        """Vectors whose products with others like them may not be exact as doubles."""
+        return np.abs(x).max(axis=1, initial=0.0) * self.scale + 1 >= math.sqrt(EXACT / x.shape[1])
+
+    def exact(self, x: np.ndarray, ids: np.ndarray, asked: np.ndarray, q_ids: np.ndarray) -> list[tuple[int, int, int]]:
+        """The best of all products, as 64-bit integers or, if these may not hold them, Python's."""
+        if not len(x) or not len(asked):
+            return []
+        # in two steps, which can't overflow to nothing
+        most = float(np.abs(x).max()) * self.scale + 1
+        kind = "i" if most < LARGEST / x.shape[1] / (float(np.abs(asked).max()) * self.scale + 1) else "o"
+        return _all_products(scaled(x, self.scale, kind), ids, scaled(asked, self.scale, kind), q_ids, self.k)
+
+    def found(self, x: np.ndarray, lists: Lists, asked: np.ndarray, q_ids: np.ndarray, least: np.ndarray | None) -> list[tuple[int, int, int]]:
+        """What queries find in a block of vectors x: by its lists, but for products with a large vector on either side, which are few and taken as whole numbers."""
+        big, of_big, ids = self.large(x), self.large(asked), lists.ids
+        plain = np.flatnonzero(~of_big)
+        if big.any():
+            lists = Lists(lists.values[~big], ids[~big]) if not big.all() else None
+        out: list[tuple[int, int, int]] = []
+        if lists is not None and len(plain):
+            w, r, score, _ = no_random_access(lists, scaled(asked[plain], self.scale, "f"), q_ids[plain], self.k, None if least is None else least[plain])
+            out += zip(q_ids[plain][w].tolist(), lists.ids[r].tolist(), score.astype(np.int64).tolist(), strict=True)
+        return out + self.exact(x[big], ids[big], asked[plain], q_ids[plain]) + self.exact(x, ids, asked[of_big], q_ids[of_big])
+
+    def better(self, held: np.ndarray, q_ids: np.ndarray, found: list[tuple[int, int, int]]) -> np.ndarray:
+        """Each query's k best scores so far, falling, with those of a further block. Scores beyond what doubles hold count a little less."""
+        more: dict[int, list[float]] = {}
+        for i, _, score in found:
+            more.setdefault(i, []).append(float(score) if abs(score) < EXACT else math.nextafter(float(score), -math.inf))
+        # different queries may have one id: what only one of them has found must not count for the others
+        several = {i for i, n in zip(*(a.tolist() for a in np.unique(q_ids, return_counts=True)), strict=True) if n > 1}
+        for row, i in enumerate(q_ids.tolist()):
+            if i in more and i not in several:
+                held[row] = np.sort(np.concatenate([held[row], more[i]]))[::-1][: self.k]
+        return held
 
     def write(self, batches):
         """Writes a partition's blocks and searches each for its own queries. Rows: where blocks are, and what their queries found."""
         put, commit = _shards(self.folder)
         for number, ((dim,), rows) in enumerate(_runs(batches, ["dim"], CANDIDATES, ["c0", "c1"])):
             x, ids = _vectors(rows), np.asarray(rows.column("vec_id")).astype("<i8")
-            if self.kind == "f":
-                lists = Lists(scaled(x, self.scale, "f"), ids)
-            else:
-                lists = Lists(x, ids)
-                lists.values = scaled(x, self.scale, self.kind)
+            lists = Lists(scaled(x, self.scale, "f"), ids)
             asked = np.asarray(rows.column("asked"))
-            q, q_ids = lists.values[asked], ids[asked]
-            found = self.found(lists, q, q_ids, None)
-            least = np.full(len(q), -np.inf)
-            if self.kind == "f":
-                best: dict[int, list[int]] = {}
-                for i, _, s in found:
-                    best.setdefault(i, []).append(s)
-                best = {i: sorted(s, reverse=True) for i, s in best.items()}
-                least = np.array([best[i][self.k - 1] if len(best.get(i, ())) >= self.k else -np.inf for i in q_ids.tolist()])
+            q, q_ids = x[asked], ids[asked]
+            found = self.found(x, lists, q, q_ids, None)
+            best = self.better(np.full((len(q), self.k), -np.inf), q_ids, found)
             head = np.array([len(ids), len(q)], "<i8").tobytes() + np.stack([x.min(axis=0), x.max(axis=0)]).tobytes()
-            head += q_ids.tobytes() + least.astype("<f8").tobytes() + x[asked].tobytes()
+            head += q_ids.tobytes() + best.astype("<f8").tobytes() + q.tobytes()
             where = put(head + ids.tobytes() + x.tobytes() + lists.depth.astype("<i8").tobytes() + lists.order.astype("<u2").tobytes())
             yield self.rows([(dim, where[0] << 32 | number, *where, len(head), len(q), None, None, None), *((None,) * 7 + f for f in found)])
         commit()
@@ -475,39 +496,39 @@ class _Searcher:
         return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(10)], [c.split()[0] for c in _FOUND.split(", ")])
 
     def tiles(self, batches):
-        """What the queries of a block find in other blocks, each of which is read only if its bounds let it beat what the queries have."""
+        """What the queries of a block find in other blocks, each of which is read only if its bounds let it beat what the queries have; what they find is the score to beat in the next ones."""
         for batch in batches:
             for block, dim, shard, offset, head, others in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 raw = _read(self.folder, shard, offset, head)
                 m = int(np.frombuffer(raw, "<i8", 2)[1])
                 at = 16 + 16 * dim
-                q_ids, least = np.frombuffer(raw, "<i8", m, at), np.frombuffer(raw, "<f8", m, at + 8 * m).copy()
-                q = scaled(np.frombuffer(raw, "<f8", m * dim, at + 16 * m).reshape(m, dim), self.scale, self.kind)
+                q_ids, best = np.frombuffer(raw, "<i8", m, at), np.frombuffer(raw, "<f8", m * self.k, at + 8 * m).reshape(m, self.k).copy()
+                q = np.frombuffer(raw, "<f8", m * dim, at + 8 * m * (1 + self.k)).reshape(m, dim)
                 for other in others:
                     if other["block"] == block:
                         continue
-                    some = self.reachable(other, dim, q, least)
+                    some = self.reachable(other, dim, q, best[:, -1])
                     if some.any():
-                        found = self.found(self.load(other, dim), q[some], q_ids[some], least[some])
+                        found = self.found(*self.load(other, dim), q[some], q_ids[some], best[some, -1])
+                        best[some] = self.better(best[some], q_ids[some], found)
                         yield self.rows([(None,) * 7 + f for f in found])
 
     def reachable(self, other, dim: int, q: np.ndarray, least: np.ndarray) -> np.ndarray:
-        """The queries for which the bounds of a block's components allow a product that ties with what they have, or beats it."""
-        if self.kind != "f":
+        """The queries for which the bounds of a block's components allow a product that ties with what they have, or beats it. Large vectors are never left out."""
+        bounds = np.frombuffer(_read(self.folder, other["shard"], other["offset"] + 16, 16 * dim), "<f8").reshape(2, dim)
+        if self.large(bounds).any():
             return np.ones(len(q), bool)
-        low, high = scaled(np.frombuffer(_read(self.folder, other["shard"], other["offset"] + 16, 16 * dim), "<f8").reshape(2, dim), self.scale, "f")
-        return np.maximum(q, 0) @ high + np.minimum(q, 0) @ low >= least
+        low, high = scaled(bounds, self.scale, "f")
+        own = scaled(q, self.scale, "f")
+        return (np.maximum(own, 0) @ high + np.minimum(own, 0) @ low >= least) | self.large(q)
 
-    def load(self, other, dim: int) -> Lists:
+    def load(self, other, dim: int) -> tuple[np.ndarray, Lists]:
         raw = _read(self.folder, other["shard"], other["offset"] + other["head"], other["bytes"] - other["head"])
         n = len(raw) // (16 + 10 * dim)
         at = 8 * n + 8 * n * dim
         x = np.frombuffer(raw, "<f8", n * dim, 8 * n).reshape(n, dim)
         order, depth = np.frombuffer(raw, "<u2", n * dim, at + 8 * n).reshape(n, dim), np.frombuffer(raw, "<i8", n, at)
-        lists = Lists(x if self.kind != "f" else scaled(x, self.scale, "f"), np.frombuffer(raw, "<i8", n), order, depth)
-        if self.kind != "f":
-            lists.values = scaled(x, self.scale, self.kind)
-        return lists
+        return x, Lists(scaled(x, self.scale, "f"), np.frombuffer(raw, "<i8", n), order, depth)
 
 
 _FOUND = "dim long, block long, shard long, offset long, bytes long, head long, queries long, query_id long, vec_id long, score long"
@@ -522,8 +543,8 @@ def top_k(table: DataFrame, every: int = 50, k: int = 5, scale: int = 256, vecto
     other blocks one after another, if the bounds of their components allow such a score at all, whose lists are read in step until
     outsiders cannot qualify. Each gives k rows a query at most; the best k of those are the result. Only numbers of blocks are shuffled in pairs.
 
-    Products below 2**53 are exact as doubles. If any could be larger, all products are taken as 64-bit or Python's integers instead of
-    reading lists; scores beyond 64 bits are then ordered by their true value and given as the largest or smallest long.
+    Products below 2**53 are exact as doubles. Those of a vector with so large components that they might not be are taken one by one, as 64-bit or Python's integers, in each
+    block for itself: such vectors don't change how others are searched. Scores beyond 64 bits are then ordered by their true value and given as the largest or smallest long.
     Vectors that are null, empty or hold null or non-finite components take no part, nor do rows without vec_id; vectors of different lengths don't meet.
     A row is no candidate of a query with its own vec_id. Repeated rows are candidates each, and one query. Different vectors of one vec_id
     are queries whose results are ranked together. Ties go to the smaller vec_id. Fewer candidates than k give fewer rows; an empty table none. Other columns are ignored.
@@ -534,9 +555,7 @@ def top_k(table: DataFrame, every: int = 50, k: int = 5, scale: int = 256, vecto
     copy = F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("copy")
     asked = (F.col("copy") == 1) & (F.pmod("vec_id", F.lit(every)) == 0)
     rows = settled(distinct.select("vec_id", "vector", F.size("vector").alias("dim"), copy).select("vec_id", "vector", "dim", asked.alias("asked")))
-    most = rows.agg(F.max(F.array_max(F.transform("vector", F.abs))).alias("x"), F.max("dim").alias("dim")).first()
-    largest = (abs(most["x"] or 0.0) * scale + 1) ** 2 * (most["dim"] or 1) if (most["x"] or 0.0) < 1e150 else math.inf
-    search = _Searcher(fresh_folder(spark, "lists"), k, scale, "f" if largest < EXACT else "i" if largest < LARGEST else "o")
+    search = _Searcher(fresh_folder(spark, "lists"), k, scale)
     axes = spark.sparkContext.broadcast(_axes(rows))
     found = settled(_sorted_by_cells(rows, axes, CELL, ["dim"], ["vec_id"]).mapInArrow(search.write, _FOUND))
     blocks = found.where("block is not null").drop("query_id", "vec_id", "score")
