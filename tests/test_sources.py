@@ -1,13 +1,14 @@
 """The SQLite source and drifting records."""
 
 import datetime as dt
+import hashlib
 import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.sources import records, sqlite
+from tidemark.sources import digests, records, sqlite
 
 TYPES = "id long, small int, flag boolean, value double, name string, raw binary, day date, at timestamp"
 
@@ -84,3 +85,23 @@ def test_drifting_records(spark):
     schema = records.merged_schema(rows.where("i in (1, 2)")).first().schema
     assert schema.startswith("OBJECT<") and "k: VARIANT" in schema and "who: STRING" in schema and "new: BOOLEAN" in schema
     assert json.loads(spark.createDataFrame([(1,)], "a int").select(F.to_json(F.struct("a")).alias("j")).first().j) == {"a": 1}
+
+
+def test_hashes_of_files_read_in_pieces(spark, tmp_path):
+    random.seed(5)
+    lines = b"".join(random.randbytes(random.randint(0, 300)).replace(b"\n", b"\r\n") + b"\n" for _ in range(9000))
+    some = {
+        "lines": lines, "open end": lines + b"x", "marked": b"\xef\xbb\xbf" + lines, "marked, open [1]": b"\xef\xbb\xbf" + lines + b"\r", "feeds": b"\n" * 700_000, "one line": random.randbytes(900_000).replace(b"\n", b""),
+        "packed.gz": b"\x1f\x8b no" + lines, "zeros": bytes(600_000), "at a piece": lines[: 1 << 19], "one more": lines[: (1 << 19) + 1], "small": b"\xff\r\n",
+    }
+    (tmp_path / "in it").mkdir()
+    for k, (name, data) in enumerate(some.items()):
+        (tmp_path / ("in it" if k % 2 else ".") / name).write_bytes(data)
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(300_000))
+    try:
+        found = digests.file_hashes(spark, str(tmp_path), 1 << 19).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+    assert {r.path.rsplit("/", 1)[1]: r.sha256 for r in found} == {name: hashlib.sha256(data).hexdigest() for name, data in some.items()}
+    assert len(found) == len(some)

@@ -146,6 +146,6 @@ def f10(spark, d):
 
 @query("x3_file_hashes")
 def x3(spark, d):
-    from tidemark.sources.files import file_hashes
+    from tidemark.sources.digests import file_hashes
 
     return file_hashes(spark, d).select("sha256")

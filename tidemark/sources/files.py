@@ -83,8 +83,3 @@ def country_names(spark: SparkSession, languages: Sequence[str] = ("en", "de"))
         country = locale("", code)
         out[code] = list(dict.fromkeys(country.getDisplayCountry(locale(lang)) for lang in languages))
     return out
-
-
-def file_hashes(spark: SparkSession, folder: str) -> DataFrame:
-    """SHA-256 of whole files (up to 2 GB each) in a folder and the folders in it."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", F.sha2("content", 256).alias("sha256"))
