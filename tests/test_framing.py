@@ -3,7 +3,9 @@
 import datetime as dt
 import difflib
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,6 +51,18 @@ def test_nationality_conflicts(spark, said, lang, wanted):
     assert [(r.label, r.wrong) for r in found] == wanted
 
 
+def test_a_batch_of_long_texts_is_not_held_as_strings():
+    """Rules on texts get them one by one: 40 MB of texts take no more than a few texts' memory."""
+    long = "papers such as The Guardian agree. " * 5000
+    texts = pa.array([long + str(i) for i in range(200)])
+    for rule in (framing.nationality_conflicts(PAPERS, "en"), framing.nationality_conflicts(PAPERS, "de")):
+        tracemalloc.start()
+        found = rule.func(texts.slice(0, 200))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(found) == 200 and peak < 8 * len(long), peak
+
+
 def test_defects(spark):
     hebrew = "א-ת"
     defects = lambda said, expected=None: value(spark, text.text_defects(F.lit(said), rf"[{hebrew}\x00-\x7FÀ-ÿ–]", (f"[{hebrew}]", "[A-Za-zÀ-ÿ]", f"[{hebrew}]{{1,2}}[A-ZÀ-Þ][A-Za-zÀ-ÿ]*"), expected))

@@ -5,10 +5,11 @@ from __future__ import annotations
 from difflib import SequenceMatcher
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tidemark.functions.rowwise import one_by_one
 
 Z = 1.96
 
@@ -103,9 +104,8 @@ def matching_characters(x: str, y: str) -> int:
     return total
 
 
-@F.pandas_udf(T.DoubleType())
-def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else 2.0 * matching_characters(x, y) / (len(x) + len(y)) if x or y else 1.0 for x, y in zip(a, b, strict=True)], dtype="float64")
+def _ratio(a: str | None, b: str | None) -> float | None:
+    return None if a is None or b is None else 2.0 * matching_characters(a, b) / (len(a) + len(b)) if a or b else 1.0
 
 
 def ratio_bound(a: Column, b: Column) -> Column:
@@ -121,9 +121,10 @@ def ratio_bound(a: Column, b: Column) -> Column:
 def sequence_ratio(a: Column | str, b: Column | str, least: float | None = None) -> Column:
     """Similarity of two texts by their longest common blocks, as Python's standard library counts it; nulls as empty. With least, 0 where ratio_bound() is below it: these pairs never reach Python."""
     a, b = (F.coalesce(F.col(t) if isinstance(t, str) else t, F.lit("")) for t in (a, b))
+    ratio = one_by_one(_ratio, "double", pa.float64())
     if least is None:
-        return _ratio(a, b)
-    return F.coalesce(_ratio(F.when(ratio_bound(a, b) >= least, a), b), F.lit(0.0))
+        return ratio(a, b)
+    return F.coalesce(ratio(F.when(ratio_bound(a, b) >= least, a), b), F.lit(0.0))
 
 
 def pair_score(headline_a: Column, headline_b: Column, words_a: Column, words_b: Column, least: float | None = None) -> Column:

@@ -5,10 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.rowwise import one_by_one
+
 #: Shortest normalised text that is compared, real characters that a page of glyph codes needs.
 LEAST_COMPARED, LEAST_REAL = 200, 100
 #: Markers of a letters page, and openings by which an item rules itself out.
@@ -185,12 +187,7 @@ def claims_in(said: str | None, lang: str) -> list[int]:
 
 def claimed_sources(text: Column, lang: str) -> Column:
     """Numbers of newspapers that a text claims (see claims_in())."""
-
-    @F.pandas_udf("array<int>")
-    def claims(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: claims_in(t, lang) if t and any(n in t.lower() for n in SOURCE_NOUNS[lang]) else [])
-
-    return claims(text)
+    return one_by_one(lambda t: claims_in(t, lang) if t and any(n in t.lower() for n in SOURCE_NOUNS[lang]) else [], "array<int>", pa.list_(pa.int32()))(text)
 
 
 def tells(text: Column, dictionary: Sequence[str]) -> Column:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import ahocorasick
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as rules
+from tidemark.functions.rowwise import STRINGS, one_by_one
 
 #: Words in a row by which passages are looked up, and the share of an excerpt's words that counts as found.
 ANCHOR, MOSTLY = 5, 0.9
@@ -51,11 +51,10 @@ def _short_found(texts: DataFrame, key: str, text: str, short: DataFrame) -> Dat
 
 
 def _held(passages: Sequence[str]):
-    """A pandas UDF: which of some passages a text holds."""
-    built = []
+    """A UDF: which of some passages a text holds."""
+    built, always = [], {""} if "" in passages else set()
 
-    @F.pandas_udf("array<string>")
-    def held(texts: pd.Series) -> pd.Series:
+    def held(text: str | None) -> list[str] | None:
         if not built:
             automaton = ahocorasick.Automaton()
             for p in passages:
@@ -64,10 +63,9 @@ def _held(passages: Sequence[str]):
             if len(automaton):
                 automaton.make_automaton()
             built.append(automaton)
-        always = {""} if "" in passages else set()
-        return texts.map(lambda t: None if t is None else sorted(always | ({p for _, p in built[0].iter(t)} if len(built[0]) else set())))
+        return None if text is None else sorted(always | ({p for _, p in built[0].iter(text)} if len(built[0]) else set()))
 
-    return held
+    return one_by_one(held, "array<string>", STRINGS)
 
 
 def passages_found(texts: DataFrame, key: str, text: str, passages: DataFrame, passage_key: str, passage: str) -> DataFrame:
