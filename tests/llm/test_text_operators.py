@@ -281,6 +281,23 @@ def test_words_around_rare_white_space_are_the_librarys():
     assert max(map(len, e.words)) <= 64
 
 
+def test_words_are_put_together_from_units():
+    """A word with signs or a line feed costs the library nothing once its units are known, and gives what the library gives for the whole text."""
+    t = Tokenizer.from_file(BYTES)
+    with open(BYTES, encoding="utf-8") as f:
+        e = WordEncoder(f.read(), True)
+    check = lambda said: np.frombuffer(e.encode([said])[0], e.dtype).tolist() == t.encode(said, add_special_tokens=False).ids
+    assert check("brandel brandel, wört wört. ende*** ende") and check("a.*** b,") and check("\nende wört,")
+    e.tokenize = e.tokenizer = None
+    assert check(" brandel. wört***\nende, wört, ende.*** brandel***")
+    with open(BYTES, encoding="utf-8") as f:
+        e = WordEncoder(f.read(), True)
+    random.seed(6)
+    for _ in range(20_000):
+        said = "".join(random.choice("abE \n.,*$_-~`<|'²ªö€ƀɐ7") for _ in range(random.randint(1, 10)))
+        assert check(said), repr(said)
+
+
 def test_remembered_words_take_bounded_room(monkeypatch):
     monkeypatch.setattr(bytebpe, "ROOM", 50_000)
     kept = bytebpe.Remembered(lambda w: w.encode())

@@ -20,6 +20,8 @@ _BLANK = "\t-\r " + _BEYOND
 #: A word with the white space before it. The pre-tokeniser never joins what stands on both sides of the end of a word.
 CUT = re.compile(f"[{_BLANK}]*[^{_BLANK}]+|[{_BLANK}]+")
 RARE = re.compile(f"[{_BEYOND}]")
+#: A line feed or none, Latin letters with a blank before or not, and signs: three units of the pre-tokeniser, which no apostrophe joins.
+UNITS = re.compile(r"(\n?)( ?[^\W\d_\u0250-\U0010ffff]+)([!-&(-/:-@\[-`{-~]*)")
 #: What, beside RARE, sends a text to the pattern above instead of plain splits before each blank and line end.
 RUNS = ("  ", " \n", "\n ", "\n\n", "\t", "\r", "\x0b", "\x0c", "\0")
 
@@ -33,7 +35,8 @@ SPACE_LETTER = chr(BYTE_LETTERS[32])
 def cut(text: str) -> list[str]:
     if any(r in text for r in RUNS) or not text.isascii() and RARE.search(text):
         return CUT.findall(text)
-    return list(filter(None, text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")))
+    found = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+    return found if found[0] else found[1:]
 
 
 class Remembered(dict):
@@ -71,6 +74,7 @@ class WordEncoder:
         self.dtype = id_type(self.tokenizer.get_vocab_size())
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.words = Remembered(self.learn)
+        self.coded = [self.ids([k]) for k in range(self.tokenizer.get_vocab_size())]
         said = json.loads(spec)
         literals = [t["content"] for t in said.get("added_tokens") or [] if t["content"]] if added else []
         #: What sends a text to the library whole.
@@ -78,19 +82,22 @@ class WordEncoder:
         before = said.get("pre_tokenizer") or {}
         #: Byte-level BPE on the usual words: cuts at white space change nothing there, and a word of letters is one unit of the model.
         self.by_word = not said.get("normalizer") and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
-        self.marks = {c: self.ids(self.tokenizer.encode(c, add_special_tokens=False).ids) for c in ".,"}
+        #: Units can be taken apart unless an added token goes over their bounds.
+        self.by_unit = self.by_word and not any((m := UNITS.fullmatch(t["content"])) and (m[1] or m[3]) for t in said.get("added_tokens") or [])
 
     def ids(self, numbers: list[int]) -> bytes:
         return array(self.code, numbers).tobytes()
 
     def learn(self, word: str) -> bytes:
-        """A word of Latin letters, with a blank before and a full stop or comma after or not, goes to the library's model directly; others through its whole pipeline."""
-        core, tail = word.removeprefix(" "), b""
-        if core[-1:] in self.marks:
-            core, tail = core[:-1], self.marks[core[-1]]
-        if self.by_word and core.isalpha() and (core.isascii() or max(core) < "\u0250"):
+        """A word of Latin letters, with a blank before or not, goes to the library's model directly; with a line feed before it or signs after it, it is put together from these units, which are remembered too. Others go through the library's whole pipeline."""
+        spaced = word[0] == " "
+        core = word[1:] if spaced else word
+        if core.isalpha() and self.by_word and (core.isascii() or max(core) < "\u0250"):
             unit = core if core.isascii() else core.encode().decode("latin-1").translate(BYTE_LETTERS)
-            return self.ids([t.id for t in self.tokenize(SPACE_LETTER + unit if word[0] == " " else unit)]) + tail
+            coded = self.coded
+            return b"".join([coded[t.id] for t in self.tokenize(SPACE_LETTER + unit if spaced else unit)])
+        if self.by_unit and (units := UNITS.fullmatch(word)) and units[2] != word and units[2].lstrip(" ").isalpha():
+            return b"".join(self.words[u] for u in units.groups() if u)
         return self.ids(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
