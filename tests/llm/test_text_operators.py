@@ -1,6 +1,7 @@
 """The text operators against the libraries and brute force, on awkward tables too."""
 
 import hashlib
+import json
 import math
 import random
 import re
@@ -10,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -305,6 +307,47 @@ def test_remembered_words_take_bounded_room(monkeypatch):
     assert len(kept) < 250 and len(kept["y" * 65]) == 65 and "y" * 65 not in kept
 
 
+def test_remembered_words_that_are_met_again_stay(monkeypatch):
+    monkeypatch.setattr(bytebpe, "ROOM", 50_000)
+    learned = Counter()
+    kept = bytebpe.Remembered(lambda w: learned.update([w]) or w.encode())
+    for i in range(5000):
+        assert kept["often"] == b"often" and kept.many([str(i), "always"]) == [str(i).encode(), b"always"]
+    assert learned["often"] == learned["always"] == 1 and len(kept) + len(kept.older) < 250
+
+
+def test_units_of_many_texts_are_looked_up_once(monkeypatch):
+    """Slices of a column with nulls, empty texts and added tokens give what the library gives for each text; what is looked up in Python are different units only."""
+    t = Tokenizer.from_file(BYTES)
+    with open(BYTES, encoding="utf-8") as f:
+        e = WordEncoder(f.read(), True)
+    looked, many = [], e.words.many
+    monkeypatch.setattr(e.words, "many", lambda words: looked.append(len(words)) or many(words))
+    assert len(set(e.encode(["one two, one. two\none"] * 500))) == 1 and looked == [6]
+    random.seed(11)
+    parts = [*"ab \n\t\xa0\u2009\u3000\x85\u201d\u00e9\u00d7.,'1\u6f22", " the", "it's.", "\n", "<|endoftext|>", "<|endof", "text|>"]
+    texts = [None if k % 17 == 0 else "".join(random.choices(parts, k=random.randint(0, 12))) for k in range(4000)]
+    wanted = [np.array([*t.encode(x or "", add_special_tokens=False).ids, 2], e.dtype).tobytes() for x in texts]
+    for size, stride in ((1, 7), (1000, 16), (1 << 20, 1 << 18)):
+        monkeypatch.setattr(bytebpe, "SLICE", size)
+        monkeypatch.setattr(bytebpe, "STRIDE", stride)
+        column = pa.array(texts, pa.string())
+        assert [x for lo, n in bytebpe.slices(column) for x in e.encode_array(column.slice(lo, n), e.ids([2])).to_pylist()] == wanted
+
+
+def test_added_tokens_of_letters_or_signs_are_the_librarys():
+    with open(BYTES, encoding="utf-8") as f:
+        said = json.load(f)
+    plain = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False}
+    said["added_tokens"] += [{"id": 50257 + k, "content": c, "special": c == "***", **plain} for k, c in enumerate(("brandel", "***"))]
+    spec = json.dumps(said)
+    for added in (True, False):
+        t, e = Tokenizer.from_str(spec), WordEncoder(spec, added)
+        t.encode_special_tokens = not added
+        for x in ("brandel", " brandel", "***", "a*** brandels", "plain, text", "brandel <|endoftext|>"):
+            assert np.frombuffer(e.encode([x])[0], e.dtype).tolist() == t.encode(x, add_special_tokens=False).ids, x
+
+
 def test_token_files_are_the_same_when_written_again(spark):
     """Rows with one doc_id or without, in another input order: byte-identical shards."""
     rows = [(i % 3 if i % 4 else None, f"text number {i * 7 % 50}", "en", "a") for i in range(200)]
