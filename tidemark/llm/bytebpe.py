@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 #: Bytes that a Python worker's remembered units may take, about what an entry takes beside its characters, and the longest unit to remember.
 ROOM, ENTRY, LONGEST = 192 << 20, 190, 64
 #: Bytes of text that are cut and looked up at once (a longer text is alone), and bytes whose kinds are compared at once.
-SLICE, STRIDE = 16 << 20, 1 << 18
+SLICE, STRIDE = 4 << 20, 1 << 18
 #: Kinds of bytes: white space, ASCII letters, ASCII signs and digits; others are of kind 0.
 BLANK, LETTER, SIGN = 1, 2, 3
 KINDS = bytes(BLANK if b in b"\t\n\v\f\r " else LETTER if chr(b).isalpha() and b < 128 else SIGN if 32 < b < 127 else 0 for b in range(256))
@@ -216,6 +216,8 @@ def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int, text: str = "te
         for batch in batches:
             for lo, n in slices(batch.column(1)):
                 part = batch.slice(lo, n)
-                yield pa.RecordBatch.from_arrays([part.column(0), e.encode_array(part.column(1), end)], ["doc_id", "ids"])
+                coded = pa.RecordBatch.from_arrays([part.column(0), e.encode_array(part.column(1), end)], ["doc_id", "ids"])
+                # few rows at once, for which the JVM and the next worker need little memory
+                yield from (coded.slice(at, 256) for at in range(0, n, 256))
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, ids binary")
