@@ -16,8 +16,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes that a Python worker's remembered units may take, about what an entry takes beside its characters, and the longest unit to remember.
+#: Bytes that a Python worker's remembered words may take, about what an entry takes beside its characters, and the longest word to remember.
 ROOM, ENTRY, LONGEST = 192 << 20, 190, 64
+#: The same room for units of texts, beside which a slice's own are held.
+UNIT_ROOM = 128 << 20
 #: Bytes of text that are cut and looked up at once (a longer text is alone), and bytes whose kinds are compared at once.
 SLICE, STRIDE = 4 << 20, 1 << 18
 #: Kinds of bytes: white space, ASCII letters, ASCII signs and digits; others are of kind 0.
@@ -70,9 +72,10 @@ def cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
 class Remembered(dict):
     """Words and their encodings: a word that is missing is learned; long ones are not kept. When half of the room is taken, what was met since goes on and what was not is forgotten."""
 
-    def __init__(self, learn):
+    def __init__(self, learn, room: int = 0):
         super().__init__()
-        self.learn, self.room, self.older = learn, ROOM // 2, {}
+        self.half = (room or ROOM) // 2
+        self.learn, self.room, self.older = learn, self.half, {}
 
     def __missing__(self, word: str) -> bytes:
         found = self.older.get(word)
@@ -88,7 +91,7 @@ class Remembered(dict):
                 if self.room < 0:
                     self.older = dict(self)
                     super().clear()
-                    self.room += ROOM // 2
+                    self.room += self.half
                 self[word] = x
 
     def many(self, words: list[str]) -> list[bytes]:
@@ -103,7 +106,7 @@ class Remembered(dict):
 
     def clear(self) -> None:
         super().clear()
-        self.room, self.older = ROOM // 2, {}
+        self.room, self.older = self.half, {}
 
 
 class WordEncoder:
@@ -121,7 +124,7 @@ class WordEncoder:
         self.tokenize = self.tokenizer.model.tokenize
         self.dtype = id_type(self.tokenizer.get_vocab_size())
         self.code = "H" if self.dtype.itemsize == 2 else "I"
-        self.words = Remembered(self.learn)
+        self.words = Remembered(self.learn, UNIT_ROOM)
         self.coded = [self.ids([k]) for k in range(self.tokenizer.get_vocab_size())]
         said = json.loads(spec)
         #: What sends a text to the library whole.
